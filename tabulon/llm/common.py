@@ -7,6 +7,7 @@ import tempfile
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Worker processes need not have this package on their path: its functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules["tabulon.llm"])
@@ -34,3 +35,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, share: int = 500) -> DataFrame:
+    """``left`` with the columns of its row of ``right``, which has each value of ``key`` once; nulls where none.
+
+    Values that make up at least one in ``share`` of the left rows are joined by broadcast, so there are at most
+    ``share`` of them; the rest is joined by shuffle, where no value can crowd a task. Null keys find nothing.
+    """
+    counts = left.groupBy(key).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    hot = cut(counts.where((F.col("_rows") >= max(2, -(-total // share))) & F.col(key).isNotNull()).select(key))
+    known = F.broadcast(hot.join(right, key, "left"))
+    rest = left.join(F.broadcast(hot), key, "left_anti").join(right, key, "left")
+    return left.join(known, key).unionByName(rest)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import simhash
+from pyspark.sql import functions as F
+
+from . import ann, mixing, pii, simhash, urls, video
 from .common import table
 
 
@@ -14,8 +16,44 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == rank)).cast("long")
+
+    counts = [count(rank).alias(f"n_{kind}") for rank, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+def op5_video(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return video.digests(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label of the document of its number: bad if of low quality or toxic."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    bad = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    outcomes = pages.select("page_id", urls.host_of(F.col("url")).alias("host")).join(bad, "page_id")
+    return urls.judge(pages, outcomes.select("host", "bad"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_ann": op2_ann,
+    "op4_pii": op4_pii,
+    "op5_video": op5_video,
+    "op6_mixing": op6_mixing,
+    "op9_urls": op9_urls,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
