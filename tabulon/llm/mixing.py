@@ -134,23 +134,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     key = F.xxhash64(F.col(id_col), F.col(source_col), F.col(text_col))
     rows, taken = takes(docs, id_col, text_col, source_col, {"key": key})
     rows = rows.select("row", F.struct("key", "doc_id").alias("key"), "size")
-    per_row = taken.groupBy("row").agg(F.collect_list("taken").alias("parts")).join(rows, "row").select("key", "row", "size", "parts")
-    own = docs.withColumn("_key", F.struct(key.alias("key"), F.col(id_col).alias("doc_id")))
-    twice = not rows.groupBy("key").count().where("count > 1").isEmpty()
-    if twice:  # equal rows are told apart by number
-        per_row = rows.select("key", "row").join(per_row.drop("key", "size"), "row", "left").join(rows.select("row", "size"), "row")
-        per_row = per_row.withColumn("_no", F.row_number().over(Window.partitionBy("key").orderBy("row")))
-        own = own.withColumn("_no", F.row_number().over(Window.partitionBy("_key").orderBy(id_col)))
-        on = (F.col("_key") == F.col("key")) & (own["_no"] == per_row["_no"])
-    else:
-        on = F.col("_key") == F.col("key")
-    joined = own.join(per_row, on).select(*(own[c] for c in docs.columns), per_row["size"].alias("_size"), F.explode("parts").alias("_taken"))
-    begin = F.regexp_extract(F.col(text_col), r"^[\x20\x09-\x0D]*", 0)
-    piece = F.concat(begin, F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0)), 1, F.col("_taken").cast("int")), ""))
-    out = joined.withColumn(text_col, F.when(F.col("_taken") < F.col("_size"), piece).otherwise(F.col(text_col)))
+    parts = taken.groupBy("row").agg(F.collect_list("taken").alias("parts")).join(rows, "row")
+    names = [docs[c] for c in docs.columns]
+    own = docs.select(F.struct(*names).alias("doc"), F.struct(key.alias("key"), docs[id_col].alias("doc_id")).alias("key"))
+    if rows.groupBy("key").count().where("count > 1").isEmpty():
+        joined = own.join(parts, "key")
+    else:  # equal rows are told apart by number
+        number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+        numbered = rows.select("row", "key", number.alias("no")).join(parts.drop("key"), "row")
+        joined = own.withColumn("no", number).join(numbered, ["key", "no"])
+    joined = joined.select("doc", "size", F.explode("parts").alias("taken"))
+    text = F.col("doc")[text_col]
+    begin = F.regexp_extract(text, r"^[\x20\x09-\x0D]*", 0)
+    units = F.regexp_extract_all(text, F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
+    piece = F.concat(begin, F.array_join(F.slice(units, 1, F.col("taken").cast("int")), ""))
+    joined = joined.withColumn("piece", F.when(F.col("taken") < F.col("size"), piece).otherwise(text))
+    out = {c: F.col("doc")[c] for c in docs.columns} | {text_col: F.col("piece")}
     if length_col in docs.columns:
-        out = out.withColumn(length_col, F.length(text_col).cast(dict(docs.dtypes)[length_col]))
-    return out.select(*docs.columns)
+        out[length_col] = F.length("piece").cast(docs.schema[length_col].dataType)
+    return joined.select(*(c.alias(name) for name, c in out.items()))
 
 
 #: ``mixed`` over the table documents.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import ann, mixing, pii, simhash, urls, video
+from . import ann, licences, mixing, pii, quality, simhash, urls, video
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -39,6 +43,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the label of the document of its number: bad if of low quality or toxic."""
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
@@ -50,10 +58,12 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
+    "op3_quality": op3_quality,
     "op4_pii": op4_pii,
     "op5_video": op5_video,
     "op6_mixing": op6_mixing,
+    "op7_licences": op7_licences,
     "op9_urls": op9_urls,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op7_licences": licences.SQL}
