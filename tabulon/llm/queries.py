@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import ann, licences, mixing, pii, quality, simhash, urls, video
+from . import ann, language, licences, mixing, pii, quality, simhash, tokens, urls, video
 from .common import table
 
 
@@ -47,6 +47,14 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return language.predict(rows, model, ["doc_id", "held_out"])
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the label of the document of its number: bad if of low quality or toxic."""
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
@@ -55,6 +63,10 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, outcomes.select("host", "bad"))
 
 
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -63,7 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_video": op5_video,
     "op6_mixing": op6_mixing,
     "op7_licences": op7_licences,
+    "op8_language": op8_language,
     "op9_urls": op9_urls,
+    "op10_tokens": op10_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op7_licences": licences.SQL}
