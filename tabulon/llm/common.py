@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -20,21 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so that lost executors cost no recomputation.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on one machine) is a
-    temporary folder used.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in ``spark.checkpoint.dir``, or a temporary one where that is unset, as in
+    tests on one machine."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabulon-checkpoint-"))
-    return df.checkpoint(eager=True)
+    return context._jsc.sc().getCheckpointDir().get()
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder, so that lost executors cost no recomputation."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, share: int = 500) -> DataFrame:
@@ -49,3 +49,10 @@ def lookup(left: DataFrame, right: DataFrame, key: str, share: int = 500) -> Dat
     known = F.broadcast(hot.join(right, key, "left"))
     rest = left.join(F.broadcast(hot), key, "left_anti").join(right, key, "left")
     return left.join(known, key).unionByName(rest)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
