@@ -4,7 +4,7 @@ A text is a bag of hashed n-grams of two views: its words (1 and 2 in a row), an
 where a shape says which kinds of characters a word has, how long it is and whether it repeats one of the two words
 before. The target model counts the n-grams of labelled good rows, the raw model those of all rows. A row's log weight
 is the sum of its n-grams' log ratios, each less the cut that best parts good from bad labelled rows. As many rows as
-have a positive weight are sampled without replacement: those of the largest weight plus Gumbel noise.
+have a positive weight are sampled without replacement: those of the largest weight plus scaled Gumbel noise.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ CELLS = WORD_CELLS + SHAPE_CELLS
 #: At most so many labelled rows of each label, by hash of the id, fit the target model and the cut.
 FIT_ROWS = 4000
 SEED = 11
+#: How much worse it is to lose a good row than to keep a bad one, and the scale of the Gumbel noise.
+LOSS, NOISE = 3.0, 0.1
 #: Bytes hashed together.
 STEP = 1 << 20
 
@@ -173,7 +175,8 @@ def _scored(docs: DataFrame, text: Column, ratio: np.ndarray) -> DataFrame:
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """The value that best parts ``good`` from ``bad`` (least sum of both error shares), midway between neighbours.
+    """The value that best parts ``good`` from ``bad``, midway between neighbours: the least sum of both error shares,
+    that of the good ones counted ``LOSS`` times.
 
     Without both kinds there is nothing to part: minus infinity, which keeps all.
     """
@@ -182,7 +185,7 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
     values = np.unique(np.concatenate([good, bad]))
     lost = np.searchsorted(np.sort(good), values) / len(good)
     passed = 1 - np.searchsorted(np.sort(bad), values) / len(bad)
-    k = int(np.argmin(lost + passed))
+    k = int(np.argmin(LOSS * lost + passed))
     return float((values[k - 1] + values[k]) / 2) if k else -np.inf
 
 
@@ -249,14 +252,14 @@ def kth_largest(df: DataFrame, value: str, k: int) -> float | None:
 
 
 def weighed(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with _n, _weight (its log importance weight) and _key (that plus Gumbel noise).
+    """``docs`` with _n, _weight (its log importance weight) and _key (that plus scaled Gumbel noise).
 
     A row without words weighs nothing: its weight and key are null.
     """
     limit = model.limit if np.isfinite(model.limit) else -1e6
     scored = _scored(docs, F.col(text_col), model.ratio)
     weight = F.when(F.col("_n") > 0, F.col("_sum") - F.col("_n") * F.lit(float(limit)))
-    return scored.withColumn("_weight", weight).withColumn("_key", F.col("_weight") + gumbel(F.col(id_col))).drop("_sum")
+    return scored.withColumn("_weight", weight).withColumn("_key", F.col("_weight") + F.lit(NOISE) * gumbel(F.col(id_col))).drop("_sum")
 
 
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
