@@ -14,16 +14,17 @@ and each pair of blocks reports only a spanning forest of its links.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, lookup
 from .graph import components
 
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
@@ -98,13 +99,14 @@ def _lookups(marks: DataFrame) -> DataFrame:
 
 
 def forest(marks: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Links that join the same rows as all links between ``marks`` would, at most one fewer than there are rows.
+    """Pairs of rows that join the same rows as all links between ``marks`` (rows, words of 64 bits) would, at most
+    one fewer than there are rows.
 
     A leader takes every row within reach; rows it took need no leader of their own. Two leaders' groups that are
     still apart are compared row by row only if their leaders are near enough for any link between them.
     """
-    marks = np.unique(marks)
     top, links = np.arange(len(marks)), []
+    apart = lambda rows, one: np.bitwise_count(rows ^ one).sum(axis=1, dtype=np.int64)
 
     def find(i: int) -> int:
         while top[i] != i:
@@ -116,54 +118,88 @@ def forest(marks: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]
         a, b = find(i), find(j)
         if a != b:
             top[max(a, b)] = min(a, b)
-            links.append((int(marks[i]), int(marks[j])))
+            links.append((i, j))
 
     left, groups = np.ones(len(marks), bool), []
     while left.any():
         lead = int(np.argmax(left))
-        near = np.bitwise_count(marks ^ marks[lead]) <= distance
+        near = apart(marks, marks[lead]) <= distance
         for j in np.flatnonzero(near):
             link(lead, int(j))
         groups.append((lead, np.flatnonzero(near & left)))
         left &= ~near
     leads = marks[[lead for lead, _ in groups]]
     for g, (lead, own) in enumerate(groups):
-        for h in np.flatnonzero(np.bitwise_count(leads[:g] ^ leads[g]) <= 3 * distance):
+        for h in np.flatnonzero(apart(leads[:g], leads[g]) <= 3 * distance):
             other = groups[h][1]
             for i in own:
                 if find(groups[h][0]) == find(lead):
                     break
-                hit = np.flatnonzero(np.bitwise_count(marks[other] ^ marks[i]) <= distance)
+                hit = np.flatnonzero(apart(marks[other], marks[i]) <= distance)
                 if len(hit):
                     link(int(i), int(other[hit[0]]))
     return links
 
 
-def _forest_of(rows: pd.DataFrame) -> pd.DataFrame:
-    links = forest(rows["fp"].to_numpy(np.int64).view(np.uint64))
-    pairs = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
-    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+def _forest_of(distance: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("node")
+        marks = np.stack([np.asarray(m, np.int64) for m in rows["mark"]]).view(np.uint64)
+        node = rows["node"].to_numpy(np.int64)
+        pairs = node[np.array(forest(marks, distance), np.int64).reshape(-1, 2)]
+        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+
+    return run
+
+
+def _dense(stored: DataFrame) -> DataFrame:
+    return cut(stored.groupBy("seg", "key").agg(F.count("*").alias("n")).where(F.col("n") > DENSE).select("seg", "key"))
+
+
+def _crowded(wanted: DataFrame, dense: DataFrame, marks: DataFrame, distance: int) -> DataFrame:
+    """(a, b): links of dense buckets. Their rows and all look-ups that reach them are dealt into blocks, and every
+    pair of blocks meets once. ``marks`` is (node, mark), the words of the bits that are compared."""
+    crowd = wanted.join(dense, ["seg", "key"])
+    crowd = crowd.join(crowd.groupBy("seg", "key").agg(F.count("*").alias("rows")), ["seg", "key"])
+    crowd = crowd.selectExpr("seg", "key", "node", f"cast(ceil(rows / {BLOCK}) as int) as parts")
+    crowd = crowd.withColumn("part", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
+    meet = "transform(sequence(0, parts - 1), p -> struct(least(p, part) as lo, greatest(p, part) as hi))"
+    crowd = crowd.selectExpr("seg", "key", "node", f"inline({meet})").join(marks, "node")
+    return crowd.groupBy("seg", "key", "lo", "hi").applyInPandas(_forest_of(distance), "a long, b long")
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 def links(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b), a < b: links between the distinct fingerprints ``marks`` (fp) that join all that are linked."""
     stored, wanted = cut(_stored(marks)), _lookups(marks)
-    dense = cut(stored.groupBy("seg", "key").agg(F.count("*").alias("n")).where(F.col("n") > DENSE))
+    dense = _dense(stored)
     thin = stored.join(dense, ["seg", "key"], "left_anti").withColumnRenamed("fp", "other")
-    pairs = (
-        wanted.join(thin, ["seg", "key"])
-        .where(f"fp != other and bit_count(fp ^ other) <= {distance}")
-        .select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b"))
-    )
-    # Dense buckets: their rows with all look-ups that reach them, every pair of blocks together once.
-    crowd = wanted.join(dense.select("seg", "key"), ["seg", "key"])
-    crowd = crowd.join(crowd.groupBy("seg", "key").agg(F.count("*").alias("rows")), ["seg", "key"])
-    crowd = crowd.selectExpr("seg", "key", "fp", f"cast(ceil(rows / {BLOCK}) as int) as parts")
-    crowd = crowd.withColumn("part", F.expr("cast(pmod(xxhash64(fp), parts) as int)"))
-    meet = "transform(sequence(0, parts - 1), p -> struct(least(p, part) as lo, greatest(p, part) as hi))"
-    crowd = crowd.selectExpr("seg", "key", "fp", f"inline({meet})")
-    sparse = crowd.groupBy("seg", "key", "lo", "hi").applyInPandas(_forest_of, "a long, b long")
-    return pairs.union(sparse)
+    met = wanted.join(thin, ["seg", "key"]).where(f"fp != other and bit_count(fp ^ other) <= {distance}")
+    own = marks.select(F.col("fp").alias("node"), F.array("fp").alias("mark"))
+    return met.select(*_ordered("fp", "other")).union(_crowded(wanted.withColumnRenamed("fp", "node"), dense, own, distance))
+
+
+def _components_of(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, node, ...) with the smallest doc_id of their component of nodes.
+
+    Nodes with a large share of all rows are joined back by broadcast; there are at most ``HOT_SHARE`` of them.
+    """
+    marks = cut(rows.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")))
+    roots = components(edges)
+    joined = marks.join(roots, "node")
+    lows = joined.groupBy("root").agg(F.min("low").alias("component_id"))
+    joined = joined.join(lows, "root").select("node", "component_id", "n")
+    single = marks.join(roots, "node", "left_anti").select("node", F.col("low").alias("component_id"), "n")
+    known = cut(joined.union(single.where("n > 1")))
+    total = marks.agg(F.sum("n")).first()[0] or 0
+    least = max(2, -(-total // HOT_SHARE))
+    hot = F.broadcast(known.where(F.col("n") >= least).drop("n"))
+    rest = rows.join(hot.select("node"), "node", "left_anti").join(known.where(F.col("n") < least).drop("n"), "node", "left")
+    rest = rest.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return rows.join(hot, "node").unionByName(rest)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,31 +210,101 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id keep it and take their component's smallest id, null if it has none. No rows give no rows.
     """
     rows = cut(fingerprints(docs, id_col, text_col))
-    marks = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")))
-    roots = components(links(marks.select("fp"))).withColumnRenamed("node", "fp")
-    joined = marks.join(roots, "fp")
-    lows = joined.groupBy("root").agg(F.min("low").alias("best"))
-    joined = joined.join(lows, "root").select("fp", F.col("best").alias("component_id"), "n")
-    single = marks.join(roots, "fp", "left_anti").select("fp", F.col("low").alias("component_id"), "n")
-    known = cut(joined.union(single.where("n > 1")))
-    total = marks.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(known.where(F.col("n") >= max(2, -(-total // HOT_SHARE))).select("fp", "component_id"))
-    cold = known.where(F.col("n") < max(2, -(-total // HOT_SHARE))).select("fp", "component_id")
-    warm = rows.join(hot, "fp")
-    rest = rows.join(hot.select("fp"), "fp", "left_anti").join(cold, "fp", "left")
-    rest = rest.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return warm.union(rest.select(warm.columns)).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    edges = links(cut(rows.select("fp").distinct()))
+    out = _components_of(rows.withColumnRenamed("fp", "node"), edges)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: The long fingerprints: words that vote on the search bits, five-word shingles that vote on the compared bits.
+WORD_BITS, GRAM_BITS, GRAM = 320, 1024, 5
+#: Differing bits allowed beyond the expected number, about one standard deviation, so that few links are lost.
+MARGIN = 11
+#: Segments of the search bits, each looked up with its Hamming ball of radius 1, and a vote's largest weight.
+WIDTH, HEAVIEST = 30, 12
+_WORD_SEED, _GRAM_SEED = 7, 9
+
+
+def distance_of(similarity: float) -> int:
+    """The expected number of differing compared bits of two sets of equal size and this Jaccard similarity."""
+    return round(GRAM_BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def _votes(hashes: np.ndarray, bits: int, weight: np.ndarray) -> np.ndarray:
+    """Weighted sums of each of ``bits`` bits drawn from every hash."""
+    out = np.zeros(bits)
+    for k in range(0, len(hashes), _STEP):
+        h = hashes[k : k + _STEP]
+        words = np.empty((len(h), bits // 64), np.uint64)
+        for j in range(bits // 64):
+            x = h + np.uint64(0x9E3779B97F4A7C15 * (j + 1) & (1 << 64) - 1)
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            words[:, j] = x ^ (x >> np.uint64(31))
+        drawn = np.unpackbits(words.view(np.uint8), axis=1)
+        out += weight[k : k + _STEP] @ drawn.astype(np.float32)
+    return out
+
+
+def long_fingerprints(text: bytes) -> tuple[list[int], bytes]:
+    """(segments, compared bits) of UTF-8 ``text``; all zero when it has no word.
+
+    Both are majorities over sets: of distinct words, weighted by their length, as short ones are common to all
+    texts of a language, and of distinct shingles.
+    """
+    words, digest = text.translate(_LOWER).split(), xxhash.xxh64_intdigest
+    if not words:
+        return [0] * (WORD_BITS // WIDTH), bytes(GRAM_BITS // 8)
+    own = sorted(set(words))
+    weight = np.array([min(len(w), HEAVIEST) for w in own], np.float32)
+    ones = _votes(np.array([digest(w, _WORD_SEED) for w in own], np.uint64), WORD_BITS, weight) * 2 > weight.sum()
+    search = ones[: WORD_BITS // WIDTH * WIDTH].reshape(-1, WIDTH) @ (1 << np.arange(WIDTH))
+    grams = {digest(b" ".join(words[k : k + GRAM]), _GRAM_SEED) for k in range(max(1, len(words) - GRAM + 1))}
+    hashes = np.sort(np.fromiter(grams, np.uint64, len(grams)))
+    compared = _votes(hashes, GRAM_BITS, np.ones(len(hashes), np.float32)) * 2 > len(hashes)
+    return search.tolist(), np.packbits(compared).tobytes()
+
+
+def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = [long_fingerprints(x.as_py() or b"") for x in batch.column("text").cast(pa.large_binary())]
+        search = pa.array([s for s, _ in both], pa.list_(pa.int64()))
+        marks = [np.frombuffer(m, ">i8").tolist() for _, m in both]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), search, pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "search", "mark"])
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without all but the smallest document id of each near-duplicate group.
+def similar(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, component_id) for every row of ``docs``: groups of texts linked by similar sets of five-word shingles.
+
+    Two texts meet where one of ten segments of their word fingerprints differs by at most one bit, which texts of
+    similarity 0.8 do with a probability of about 0.99 and unrelated ones hardly ever; they are linked if their
+    shingle fingerprints differ by no more bits than ``similarity`` stands for and ``MARGIN``: texts above it are
+    linked, texts up to about 0.03 below it may be. Equal fingerprints are one node. Null, empty and repeated rows count as in ``near_duplicates``.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.mapInArrow(_long, "doc_id long, search array<bigint>, mark array<bigint>")
+    rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
+    nodes = cut(rows.groupBy("search", "mark").agg(F.min("row").alias("node"), F.count("*").alias("_n")))
+    named = cut(lookup(rows.withColumn("both", F.struct("search", "mark")).select("doc_id", "both"), nodes.select(F.struct("search", "mark").alias("both"), "node"), "both").drop("both"))
+    stored = nodes.selectExpr("node", "posexplode(search) as (seg, key)")
+    flips = f"transform(filter(transform(sequence(0, {WIDTH - 1}), i -> shiftleft(1L, i)), b -> (key & b) = 0), b -> key | b)"
+    wanted = stored.selectExpr("node", "seg", f"explode(concat(array(key), {flips})) as key")
+    stored, marks = cut(stored), nodes.select("node", "mark")
+    dense, distance = _dense(stored), distance_of(similarity) + MARGIN
+    thin = stored.join(dense, ["seg", "key"], "left_anti").withColumnRenamed("node", "other")
+    met = wanted.join(thin, ["seg", "key"]).where("node != other").select(*_ordered("node", "other")).distinct()
+    met = met.join(marks.toDF("a", "mark_a"), "a").join(marks.toDF("b", "mark_b"), "b")
+    far = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    edges = met.where(far <= distance).select("a", "b").union(_crowded(wanted, dense, marks, distance))
+    return _components_of(named, edges).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without all but the smallest document id of each group of ``similar`` texts.
 
     Rows that repeat the id that stays are reduced to one; rows with a null id stay, as none of them can be told
     to be the copy of another.
     """
-    kept = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").groupBy("doc_id").count()
+    kept = similar(docs, similarity, id_col, text_col).where("doc_id = component_id").groupBy("doc_id").count()
     kept = cut(kept.toDF("_kept", "_rows"))
     whole = docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi")
     if not kept.where("_rows > 1").isEmpty():

@@ -69,3 +69,43 @@ def test_nulls_repeats_and_empty(spark):
     assert len(got) == 4 and {x[2] for x in got if x[0] != 1} == {3}
     assert sorted(x["doc_id"] or 0 for x in simhash.keep_one(docs).collect()) == [0, 1, 3]
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+
+
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+
+def test_similar_texts_are_found_and_others_left(spark, monkeypatch):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9)))
+    texts = []
+    for _ in range(25):
+        w = [word() for _ in range(300)]
+        texts.append(" ".join(w))
+        for edits in (1, 2, 3, 40):
+            v = list(w)
+            for k in r.sample(range(300), edits):
+                v[k] = word()
+            texts.append(" ".join(v))
+    sets = [shingles(t) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for dense in (64, 2):
+        monkeypatch.setattr(simhash, "DENSE", dense)
+        comp = {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()}
+        sure = [(i, j) for i in range(len(texts)) for j in range(i) if alike(i, j) >= 0.85]
+        assert sum(comp[i] == comp[j] for i, j in sure) >= 0.97 * len(sure) and len(sure) > 80
+        assert all(comp[i] != comp[j] for i in range(len(texts)) for j in range(i) if alike(i, j) < 0.4 and i // 5 != j // 5)
+        assert all(comp[5 * k + 4] == 5 * k + 4 for k in range(25))
+
+
+def test_one_of_each_group_stays(spark):
+    schema = "doc_id long, text string, row string, node string, _kept string"
+    long = " ".join(f"word{k}" for k in range(50))
+    rows = [(5, long), (4, long + " end"), (4, long + " end"), (9, "short one"), (None, long), (None, None), (7, None), (8, " ")]
+    docs = spark.createDataFrame([(*x, "r", "n", "k") for x in rows], schema)
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((x["doc_id"] or 0) for x in got.collect()) == [0, 0, 4, 7, 9]
+    assert simhash.keep_one(docs.limit(0)).collect() == [] and simhash.similar(docs.limit(0)).collect() == []
