@@ -15,6 +15,7 @@ and each pair of blocks reports only a spanning forest of its links.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,26 +35,33 @@ SEGMENTS = ((0, 22, 1), (22, 22, 1), (44, 20, 0))
 DENSE, BLOCK = 64, 16384
 #: Fingerprints with at least this share of all documents are joined back by broadcast; there are at most 500.
 HOT_SHARE = 500
-_STEP = 32768
+#: Hashes counted together, and bytes of text split together.
+_STEP, _BYTES = 32768, 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def fingerprint(text: bytes) -> int:
-    """The 64-bit majority fingerprint of UTF-8 ``text``; zero when it has no word.
+def word_lists(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text with A-Z lower-cased, in lists of about ``_BYTES`` bytes; ASCII white space parts them."""
+    at = 0
+    while at < len(text):
+        found = _SPACE.search(text, at + _BYTES)
+        end = found.start() if found else len(text)
+        yield text[at:end].translate(_LOWER).split()
+        at = end
 
-    Words are separated by ASCII white space and only A-Z are lower-cased. Long texts are hashed in steps, so that
-    memory stays bounded by the list of words.
-    """
-    lower = text.translate(_LOWER).split()
-    if not lower:
-        return 0
-    n = max(1, len(lower) - SHINGLE + 1)
-    ones, digest = np.zeros(BITS, np.int64), xxhash.xxh64_intdigest
-    if len(lower) < SHINGLE:
-        ones += _bit_counts([digest(b" ".join(lower), SEED)])
-    else:
-        for i in range(0, n, _STEP):
-            w = lower[i : i + _STEP + SHINGLE - 1]
-            ones += _bit_counts([digest(b"%b %b %b %b" % x, SEED) for x in zip(w, w[1:], w[2:], w[3:])])
+
+def fingerprint(text: bytes) -> int:
+    """The 64-bit majority fingerprint of UTF-8 ``text``; zero when it has no word. Long texts are hashed in parts."""
+    ones, n, last, digest = np.zeros(BITS, np.int64), 0, [], xxhash.xxh64_intdigest
+    for words in word_lists(text):
+        w = last + words
+        if len(w) >= SHINGLE:
+            hashes = [digest(b"%b %b %b %b" % x, SEED) for x in zip(w, w[1:], w[2:], w[3:])]
+            ones += _bit_counts(hashes)
+            n += len(hashes)
+        last = w[1 - SHINGLE :]
+    if n == 0 and last:
+        ones, n = _bit_counts([digest(b" ".join(last), SEED)]), 1
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
@@ -251,14 +259,19 @@ def long_fingerprints(text: bytes) -> tuple[list[int], bytes]:
     Both are majorities over sets: of distinct words, weighted by their length, as short ones are common to all
     texts of a language, and of distinct shingles.
     """
-    words, digest = text.translate(_LOWER).split(), xxhash.xxh64_intdigest
-    if not words:
+    own, grams, last, digest = set(), set(), [], xxhash.xxh64_intdigest
+    for words in word_lists(text):
+        own.update(words)
+        last += words
+        grams.update(digest(b" ".join(last[k : k + GRAM]), _GRAM_SEED) for k in range(len(last) - GRAM + 1))
+        last = last[1 - GRAM :]
+    if not own:
         return [0] * (WORD_BITS // WIDTH), bytes(GRAM_BITS // 8)
-    own = sorted(set(words))
+    grams = grams or {digest(b" ".join(last), _GRAM_SEED)}
+    own = sorted(own)
     weight = np.array([min(len(w), HEAVIEST) for w in own], np.float32)
     ones = _votes(np.array([digest(w, _WORD_SEED) for w in own], np.uint64), WORD_BITS, weight) * 2 > weight.sum()
     search = ones[: WORD_BITS // WIDTH * WIDTH].reshape(-1, WIDTH) @ (1 << np.arange(WIDTH))
-    grams = {digest(b" ".join(words[k : k + GRAM]), _GRAM_SEED) for k in range(max(1, len(words) - GRAM + 1))}
     hashes = np.sort(np.fromiter(grams, np.uint64, len(grams)))
     compared = _votes(hashes, GRAM_BITS, np.ones(len(hashes), np.float32)) * 2 > len(hashes)
     return search.tolist(), np.packbits(compared).tobytes()

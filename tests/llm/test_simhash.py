@@ -45,6 +45,13 @@ def test_against_brute_force(spark):
     assert {tuple(x) for x in got} == brute(rows) and len(got) == len(rows)
 
 
+def test_long_texts_are_seamless(monkeypatch):
+    texts = [b"", b" ", b"a b c", b"a b c d", b"One\ttwo  " * 30, b"x" * 200, b"p q " + b"y" * 90 + b" r s t u"]
+    whole = [(simhash.fingerprint(t), simhash.long_fingerprints(t)) for t in texts]
+    monkeypatch.setattr(simhash, "_BYTES", 7)
+    assert [(simhash.fingerprint(t), simhash.long_fingerprints(t)) for t in texts] == whole
+
+
 def test_dense_buckets_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "DENSE", 4)
     monkeypatch.setattr(simhash, "BLOCK", 16)
