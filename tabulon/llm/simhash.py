@@ -111,7 +111,7 @@ def forest(marks: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]
     one fewer than there are rows.
 
     A leader takes every row within reach; rows it took need no leader of their own. Two leaders' groups that are
-    still apart are compared row by row only if their leaders are near enough for any link between them.
+    still apart are compared row by row, up to the first link, only if their leaders are near enough for one.
     """
     top, links = np.arange(len(marks)), []
     apart = lambda rows, one: np.bitwise_count(rows ^ one).sum(axis=1, dtype=np.int64)
@@ -140,12 +140,14 @@ def forest(marks: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]
     for g, (lead, own) in enumerate(groups):
         for h in np.flatnonzero(apart(leads[:g], leads[g]) <= 3 * distance):
             other = groups[h][1]
-            for i in own:
+            rows = max(1, _STEP // len(other))
+            for k in range(0, len(own), rows):
                 if find(groups[h][0]) == find(lead):
                     break
-                hit = np.flatnonzero(apart(marks[other], marks[i]) <= distance)
-                if len(hit):
-                    link(int(i), int(other[hit[0]]))
+                some = marks[own[k : k + rows]]
+                far = np.bitwise_count(some[:, None] ^ marks[other][None]).sum(axis=2, dtype=np.int64)
+                for i, j in np.argwhere(far <= distance)[:1]:
+                    link(int(own[k + i]), int(other[j]))
     return links
 
 
