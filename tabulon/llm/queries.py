@@ -80,4 +80,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tokens": op10_tokens,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op7_licences": licences.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op7_licences": licences.SQL, "op9_urls": urls.SQL}
