@@ -36,7 +36,7 @@ DENSE, BLOCK = 64, 16384
 #: Fingerprints with at least this share of all documents are joined back by broadcast; there are at most 500.
 HOT_SHARE = 500
 #: Hashes counted together, and bytes of text split together.
-_STEP, _BYTES = 32768, 1 << 20
+_STEP, _BYTES = 4096, 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -239,8 +239,8 @@ def distance_of(similarity: float) -> int:
     return round(GRAM_BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def _votes(hashes: np.ndarray, bits: int, weight: np.ndarray) -> np.ndarray:
-    """Weighted sums of each of ``bits`` bits drawn from every hash."""
+def _votes(hashes: np.ndarray, bits: int, weight: np.ndarray | None = None) -> np.ndarray:
+    """Sums, weighted if there are weights, of each of ``bits`` bits drawn from every hash."""
     out = np.zeros(bits)
     for k in range(0, len(hashes), _STEP):
         h = hashes[k : k + _STEP]
@@ -251,7 +251,11 @@ def _votes(hashes: np.ndarray, bits: int, weight: np.ndarray) -> np.ndarray:
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             words[:, j] = x ^ (x >> np.uint64(31))
         drawn = np.unpackbits(words.view(np.uint8), axis=1)
-        out += weight[k : k + _STEP] @ drawn.astype(np.float32)
+        if weight is not None:
+            out += weight[k : k + _STEP] @ drawn.astype(np.float32)
+            continue
+        for i in range(0, len(drawn), 255):  # sums of 255 bits fit a byte
+            out += np.add.reduce(drawn[i : i + 255], axis=0, dtype=np.uint8)
     return out
 
 
@@ -275,7 +279,7 @@ def long_fingerprints(text: bytes) -> tuple[list[int], bytes]:
     ones = _votes(np.array([digest(w, _WORD_SEED) for w in own], np.uint64), WORD_BITS, weight) * 2 > weight.sum()
     search = ones[: WORD_BITS // WIDTH * WIDTH].reshape(-1, WIDTH) @ (1 << np.arange(WIDTH))
     hashes = np.sort(np.fromiter(grams, np.uint64, len(grams)))
-    compared = _votes(hashes, GRAM_BITS, np.ones(len(hashes), np.float32)) * 2 > len(hashes)
+    compared = _votes(hashes, GRAM_BITS) * 2 > len(hashes)
     return search.tolist(), np.packbits(compared).tobytes()
 
 
