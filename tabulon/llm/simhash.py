@@ -7,9 +7,9 @@ the third, so a linked pair agrees in the third segment or differs by at most on
 fingerprint is stored under its three segment values and looks up the Hamming ball of radius 1, 1 and 0 around
 them. Of a pair that differs in one bit of a segment, only the side that has a zero there looks up the other.
 
-Equal fingerprints are one row in this search, so exact copies never make pairs. A stored bucket of more than
-``DENSE`` fingerprints is not joined pair by pair: its rows and the look-ups that reach it are dealt into blocks,
-and each pair of blocks reports only a spanning forest of its links.
+Equal fingerprints are one row in this search, so exact copies never make pairs. A bucket whose rows and look-ups
+would make more than ``DENSE`` pairs is not joined pair by pair: both are dealt into blocks, and each pair of blocks
+reports only a spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from .graph import components
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
 #: (first bit, width, radius) of each segment.
 SEGMENTS = ((0, 22, 1), (22, 22, 1), (44, 20, 0))
-#: Buckets of more fingerprints than this are searched in blocks of ``BLOCK`` rows.
-DENSE, BLOCK = 64, 16384
+#: Buckets whose rows and look-ups make more pairs than this are searched in blocks of ``BLOCK`` rows and look-ups.
+DENSE, BLOCK = 1024, 8192
 #: Fingerprints with at least this share of all documents are joined back by broadcast; there are at most 500.
 HOT_SHARE = 500
 #: Hashes counted together, and bytes of text split together.
@@ -106,76 +106,55 @@ def _lookups(marks: DataFrame) -> DataFrame:
     return marks.selectExpr("fp", f"inline(concat({', '.join(balls)}))")
 
 
-def forest(marks: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Pairs of rows that join the same rows as all links between ``marks`` (rows, words of 64 bits) would, at most
-    one fewer than there are rows.
+def forest(marks: np.ndarray, stored: np.ndarray, wanted: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
+    """Pairs of rows that join the same rows as all links between ``stored`` and ``wanted`` rows would.
 
-    A leader takes every row within reach; rows it took need no leader of their own. Two leaders' groups that are
-    still apart are compared row by row, up to the first link, only if their leaders are near enough for one.
+    ``marks`` is (rows, words of 64 bits); there is at most one pair fewer than rows. A stored row is compared only
+    with wanted rows that aren't joined to it yet, so a tight group takes one comparison with each of its rows, and
+    what is compared further are the rows that stand apart.
     """
-    top, links = np.arange(len(marks)), []
-    apart = lambda rows, one: np.bitwise_count(rows ^ one).sum(axis=1, dtype=np.int64)
-
-    def find(i: int) -> int:
-        while top[i] != i:
-            top[i] = top[top[i]]
-            i = top[i]
-        return int(i)
-
-    def link(i: int, j: int) -> None:
-        a, b = find(i), find(j)
-        if a != b:
-            top[max(a, b)] = min(a, b)
-            links.append((i, j))
-
-    left, groups = np.ones(len(marks), bool), []
-    while left.any():
-        lead = int(np.argmax(left))
-        near = apart(marks, marks[lead]) <= distance
-        for j in np.flatnonzero(near):
-            link(lead, int(j))
-        groups.append((lead, np.flatnonzero(near & left)))
-        left &= ~near
-    leads = marks[[lead for lead, _ in groups]]
-    for g, (lead, own) in enumerate(groups):
-        for h in np.flatnonzero(apart(leads[:g], leads[g]) <= 3 * distance):
-            other = groups[h][1]
-            rows = max(1, _STEP // len(other))
-            for k in range(0, len(own), rows):
-                if find(groups[h][0]) == find(lead):
-                    break
-                some = marks[own[k : k + rows]]
-                far = np.bitwise_count(some[:, None] ^ marks[other][None]).sum(axis=2, dtype=np.int64)
-                for i, j in np.argwhere(far <= distance)[:1]:
-                    link(int(own[k + i]), int(other[j]))
+    group, links = np.arange(len(marks)), []
+    for i in stored:
+        apart = wanted[group[wanted] != group[i]]
+        far = np.bitwise_count(marks[apart] ^ marks[i]).sum(axis=1, dtype=np.int64)
+        near = apart[far <= distance]
+        if len(near):
+            joined, first = np.unique(group[near], return_index=True)
+            links += [(int(i), int(j)) for j in near[first]]
+            group[np.isin(group, joined)] = group[i]
     return links
 
 
 def _forest_of(distance: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node")
-        marks = np.stack([np.asarray(m, np.int64) for m in rows["mark"]]).view(np.uint64)
-        node = rows["node"].to_numpy(np.int64)
-        pairs = node[np.array(forest(marks, distance), np.int64).reshape(-1, 2)]
+        one = rows.drop_duplicates("node").sort_values("node")
+        node = one["node"].to_numpy(np.int64)
+        marks = np.stack([np.asarray(m, np.int64) for m in one["mark"]]).view(np.uint64)
+        place = np.searchsorted(node, rows["node"].to_numpy(np.int64))
+        asks = rows["asks"].to_numpy(bool)
+        pairs = node[np.array(forest(marks, np.unique(place[~asks]), np.unique(place[asks]), distance), np.int64).reshape(-1, 2)]
         return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
     return run
 
 
-def _dense(stored: DataFrame) -> DataFrame:
-    return cut(stored.groupBy("seg", "key").agg(F.count("*").alias("n")).where(F.col("n") > DENSE).select("seg", "key"))
+def _dense(stored: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(seg, key, n, m) of buckets whose n rows and m look-ups make more than ``DENSE`` pairs."""
+    sizes = stored.groupBy("seg", "key").agg(F.count("*").alias("n"))
+    asked = wanted.select("seg", "key").join(sizes, ["seg", "key"]).groupBy("seg", "key").agg(F.first("n").alias("n"), F.count("*").alias("m"))
+    return cut(asked.where(F.col("n") * F.col("m") > DENSE))
 
 
-def _crowded(wanted: DataFrame, dense: DataFrame, marks: DataFrame, distance: int) -> DataFrame:
-    """(a, b): links of dense buckets. Their rows and all look-ups that reach them are dealt into blocks, and every
-    pair of blocks meets once. ``marks`` is (node, mark), the words of the bits that are compared."""
-    crowd = wanted.join(dense, ["seg", "key"])
-    crowd = crowd.join(crowd.groupBy("seg", "key").agg(F.count("*").alias("rows")), ["seg", "key"])
-    crowd = crowd.selectExpr("seg", "key", "node", f"cast(ceil(rows / {BLOCK}) as int) as parts")
-    crowd = crowd.withColumn("part", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
-    meet = "transform(sequence(0, parts - 1), p -> struct(least(p, part) as lo, greatest(p, part) as hi))"
-    crowd = crowd.selectExpr("seg", "key", "node", f"inline({meet})").join(marks, "node")
-    return crowd.groupBy("seg", "key", "lo", "hi").applyInPandas(_forest_of(distance), "a long, b long")
+def _crowded(stored: DataFrame, wanted: DataFrame, dense: DataFrame, marks: DataFrame, distance: int) -> DataFrame:
+    """(a, b): links of dense buckets. Rows and look-ups are dealt into blocks, and every block of rows meets every
+    block of look-ups once. ``marks`` is (node, mark), the words of the bits that are compared."""
+    parts = dense.selectExpr("seg", "key", f"cast(ceil(n / {BLOCK}) as int) as rows", f"cast(ceil(m / {BLOCK}) as int) as asks_in")
+    deal = "cast(pmod(xxhash64(node), {}) as int) as {}"
+    every = "explode(sequence(0, {} - 1)) as {}"
+    left = stored.join(parts, ["seg", "key"]).selectExpr("seg", "key", "node", "false as asks", deal.format("rows", "p"), every.format("asks_in", "q"))
+    right = wanted.join(parts, ["seg", "key"]).selectExpr("seg", "key", "node", "true as asks", every.format("rows", "p"), deal.format("asks_in", "q"))
+    met = left.unionByName(right).join(marks, "node")
+    return met.groupBy("seg", "key", "p", "q").applyInPandas(_forest_of(distance), "a long, b long")
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -185,11 +164,13 @@ def _ordered(a: str, b: str) -> list[Column]:
 def links(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b), a < b: links between the distinct fingerprints ``marks`` (fp) that join all that are linked."""
     stored, wanted = cut(_stored(marks)), _lookups(marks)
-    dense = _dense(stored)
+    dense = _dense(stored, wanted)
     thin = stored.join(dense, ["seg", "key"], "left_anti").withColumnRenamed("fp", "other")
     met = wanted.join(thin, ["seg", "key"]).where(f"fp != other and bit_count(fp ^ other) <= {distance}")
     own = marks.select(F.col("fp").alias("node"), F.array("fp").alias("mark"))
-    return met.select(*_ordered("fp", "other")).union(_crowded(wanted.withColumnRenamed("fp", "node"), dense, own, distance))
+    return met.select(*_ordered("fp", "other")).union(
+        _crowded(stored.withColumnRenamed("fp", "node"), wanted.withColumnRenamed("fp", "node"), dense, own, distance)
+    )
 
 
 def _components_of(rows: DataFrame, edges: DataFrame) -> DataFrame:
@@ -308,12 +289,12 @@ def similar(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", te
     flips = f"transform(filter(transform(sequence(0, {WIDTH - 1}), i -> shiftleft(1L, i)), b -> (key & b) = 0), b -> key | b)"
     wanted = stored.selectExpr("node", "seg", f"explode(concat(array(key), {flips})) as key")
     stored, marks = cut(stored), nodes.select("node", "mark")
-    dense, distance = _dense(stored), distance_of(similarity) + MARGIN
+    dense, distance = _dense(stored, wanted), distance_of(similarity) + MARGIN
     thin = stored.join(dense, ["seg", "key"], "left_anti").withColumnRenamed("node", "other")
     met = wanted.join(thin, ["seg", "key"]).where("node != other").select(*_ordered("node", "other")).distinct()
     met = met.join(marks.toDF("a", "mark_a"), "a").join(marks.toDF("b", "mark_b"), "b")
     far = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    edges = met.where(far <= distance).select("a", "b").union(_crowded(wanted, dense, marks, distance))
+    edges = met.where(far <= distance).select("a", "b").union(_crowded(stored, wanted, dense, marks, distance))
     return _components_of(named, edges).select("doc_id", "component_id")
 
 

@@ -53,7 +53,7 @@ def test_long_texts_are_seamless(monkeypatch):
 
 
 def test_dense_buckets_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "DENSE", 4)
+    monkeypatch.setattr(simhash, "DENSE", 6)
     monkeypatch.setattr(simhash, "BLOCK", 16)
     r = random.Random(1)
     seeds = [r.getrandbits(64) for _ in range(4)]
@@ -98,7 +98,7 @@ def test_similar_texts_are_found_and_others_left(spark, monkeypatch):
     sets = [shingles(t) for t in texts]
     alike = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for dense in (64, 2):
+    for dense in (1024, 3):
         monkeypatch.setattr(simhash, "DENSE", dense)
         comp = {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()}
         sure = [(i, j) for i in range(len(texts)) for j in range(i) if alike(i, j) >= 0.85]
