@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -56,3 +57,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows in an Arrow batch: texts are long, and a batch is held by the JVM and by Python, several times over.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of at most ``BATCH_ROWS`` rows; the session keeps that limit."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, BATCH_ROWS)
+    return df.mapInArrow(function, schema)

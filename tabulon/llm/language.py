@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, in_arrow
 from .pieces import MARK, Vocabulary, by_length, read_model
 from .tokens import MODEL
 
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     chosen = cut(rows.withColumn("n", place).where(F.col("n") <= FIT_ROWS).select("id", "lang").distinct())
     texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text")
-    got = known.mapInArrow(_counter(pieces), "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
+    got = in_arrow(known, _counter(pieces), "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in got})
     counts = np.full((len(pieces), len(languages)), ADDED)
     for r in got:
@@ -187,4 +187,4 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "tex
 
     rows = docs.select(F.struct(*(docs[c] for c in keep)).alias("row"), docs[text_col].cast("string").alias("text"))
     schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_predictor(model), schema).select("row.*", "lang_pred", "score")
+    return in_arrow(rows, _predictor(model), schema).select("row.*", "lang_pred", "score")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, in_arrow
 
 #: Hash cells of the words' and of the shapes' n-grams; added counts for smoothing.
 WORD_CELLS, SHAPE_CELLS, ADDED = 1 << 16, 1 << 13, 1.0
@@ -27,7 +27,7 @@ SEED = 11
 #: How much worse it is to lose a good row than to keep a bad one, and the scale of the Gumbel noise.
 LOSS, NOISE = 3.0, 0.1
 #: Bytes hashed together.
-STEP = 1 << 20
+STEP = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -146,7 +146,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """How often each cell occurs in all rows; the result has a fixed number of cells."""
-    got = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_count, "cell int, n long")
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    got = in_arrow(texts, _count, "cell int, n long")
     out = np.zeros(CELLS)
     for cell, n in got.groupBy("cell").agg(F.sum("n")).collect():
         out[cell] = n
@@ -171,7 +172,7 @@ def _scored(docs: DataFrame, text: Column, ratio: np.ndarray) -> DataFrame:
     """``docs`` and _n, _sum: the number of n-grams and the sum of their log ratios."""
     rows = docs.withColumn("_text", text.cast("string"))
     schema = docs.withColumn("_n", F.lit(0).cast("long")).withColumn("_sum", F.lit(0.0)).schema
-    return rows.mapInArrow(_scorer(ratio), schema)
+    return in_arrow(rows, _scorer(ratio), schema)
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:

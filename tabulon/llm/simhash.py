@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lookup
+from .common import cut, in_arrow, lookup
 from .graph import components
 
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
@@ -82,7 +82,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, fp long) for every row of ``docs``; a null text counts as empty."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    return in_arrow(rows, _fingerprints, "doc_id long, fp long")
 
 
 def _segment(first: int, width: int) -> str:
@@ -281,7 +281,7 @@ def similar(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", te
     linked, texts up to about 0.03 below it may be. Equal fingerprints are one node. Null, empty and repeated rows count as in ``near_duplicates``.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.mapInArrow(_long, "doc_id long, search array<bigint>, mark array<bigint>")
+    rows = in_arrow(rows, _long, "doc_id long, search array<bigint>, mark array<bigint>")
     rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
     nodes = cut(rows.groupBy("search", "mark").agg(F.min("row").alias("node"), F.count("*").alias("_n")))
     named = cut(lookup(rows.withColumn("both", F.struct("search", "mark")).select("doc_id", "both"), nodes.select(F.struct("search", "mark").alias("both"), "node"), "both").drop("both"))

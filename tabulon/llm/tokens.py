@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
 from .pieces import UNITS, Vocabulary, by_length, marked, n_best, read_model
 
 #: Distinct units kept from one group of texts to the next, and bytes of text in a group.
-KEPT, STEP = 300_000, 1 << 21
+KEPT, STEP = 200_000, 1 << 21
 #: The vocabulary's place, and how many segmentations are found.
 MODEL, BEST = "/opt/tokenizers/piece_bpe_32k.model", 3
 
@@ -181,7 +182,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, best: in
     rest = [docs[c] for c in docs.columns if c.lower() != into.lower()]
     rows = docs.select(F.struct(*rest).alias("row"), docs[text_col].cast("string").alias("text"))
     row_type = rows.schema["row"].dataType.simpleString()
-    done = rows.mapInArrow(run, _schema(rows, row_type))
+    done = in_arrow(rows, run, _schema(rows, row_type))
     return done.select("row.*", F.col("found").alias(into))
 
 
@@ -209,7 +210,7 @@ def decode(df: DataFrame, ids_col: str = "ids", model: str = MODEL, into: str =
 
     rest = [df[c] for c in df.columns if c.lower() != into.lower()]
     rows = df.select(F.struct(*rest).alias("row"), df[ids_col].cast("array<int>").alias("ids"))
-    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
+    done = in_arrow(rows, run, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
     return done.select("row.*", F.col("text").alias(into))
 
 
@@ -243,4 +244,4 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
                 at += len(group)
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(run, _DIGEST)
+    return in_arrow(rows, run, _DIGEST)

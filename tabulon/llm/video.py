@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
+
 SIDE, RATE = 24, 25
 FRAME = SIDE * SIDE
 FILL = 255
@@ -278,7 +280,7 @@ def clips(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["id", "clip", "first_frame", "end_frame", "start_s", "end_s", "difference"])
 
     rows = df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"))
-    return rows.mapInArrow(run, f"id {kind}, {_CLIPS}").withColumnRenamed("id", id_col)
+    return in_arrow(rows, run, f"id {kind}, {_CLIPS}").withColumnRenamed("id", id_col)
 
 
 def stored(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -292,7 +294,7 @@ def stored(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(media, pa.binary())], ["id", "media"])
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, media binary").withColumnRenamed("id", id_col)
+    return in_arrow(rows, run, f"id {kind}, media binary").withColumnRenamed("id", id_col)
 
 
 _DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_clips int"
@@ -325,4 +327,4 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     null text counts as empty; equal texts give equal values; no rows give none.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_digests, _DIGEST)
+    return in_arrow(rows, _digests, _DIGEST)
