@@ -59,6 +59,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A table of at most so many narrow rows, counted first, is broadcast.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it has few rows. It should be materialised, as its rows are counted."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 #: Rows in an Arrow batch: texts are long, and a batch is held by the JVM and by Python, several times over.
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"

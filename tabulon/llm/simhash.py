@@ -25,14 +25,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_arrow, lookup
+from .common import cut, in_arrow, lookup, small
 from .graph import components
 
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
 #: (first bit, width, radius) of each segment.
 SEGMENTS = ((0, 22, 1), (22, 22, 1), (44, 20, 0))
-#: Buckets whose rows and look-ups make more pairs than this are searched in blocks of ``BLOCK`` rows and look-ups.
-DENSE, BLOCK = 1024, 8192
+#: Buckets of at least ``FEW`` rows whose rows and look-ups make more than ``DENSE`` pairs are searched in blocks of
+#: ``BLOCK`` rows and look-ups. Smaller buckets give each look-up fewer than ``FEW`` pairs.
+FEW, DENSE, BLOCK = 8, 1024, 8192
 #: Fingerprints with at least this share of all documents are joined back by broadcast; there are at most 500.
 HOT_SHARE = 500
 #: Hashes counted together, and bytes of text split together.
@@ -139,10 +140,11 @@ def _forest_of(distance: int):
 
 
 def _dense(stored: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(seg, key, n, m) of buckets whose n rows and m look-ups make more than ``DENSE`` pairs."""
-    sizes = stored.groupBy("seg", "key").agg(F.count("*").alias("n"))
-    asked = wanted.select("seg", "key").join(sizes, ["seg", "key"]).groupBy("seg", "key").agg(F.first("n").alias("n"), F.count("*").alias("m"))
-    return cut(asked.where(F.col("n") * F.col("m") > DENSE))
+    """(seg, key, n, m) of buckets of ``FEW`` rows and more whose n rows and m look-ups make over ``DENSE`` pairs."""
+    sizes = small(cut(stored.groupBy("seg", "key").agg(F.count("*").alias("n")).where(F.col("n") >= FEW)))
+    asked = wanted.select("seg", "key").join(sizes, ["seg", "key"]).groupBy("seg", "key")
+    asked = asked.agg(F.first("n").alias("n"), F.count("*").alias("m"))
+    return small(cut(asked.where(F.col("n") * F.col("m") > DENSE)))
 
 
 def _crowded(stored: DataFrame, wanted: DataFrame, dense: DataFrame, marks: DataFrame, distance: int) -> DataFrame:

@@ -54,6 +54,7 @@ def test_long_texts_are_seamless(monkeypatch):
 
 def test_dense_buckets_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "DENSE", 6)
+    monkeypatch.setattr(simhash, "FEW", 2)
     monkeypatch.setattr(simhash, "BLOCK", 16)
     r = random.Random(1)
     seeds = [r.getrandbits(64) for _ in range(4)]
@@ -100,6 +101,7 @@ def test_similar_texts_are_found_and_others_left(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for dense in (1024, 3):
         monkeypatch.setattr(simhash, "DENSE", dense)
+        monkeypatch.setattr(simhash, "FEW", 2)
         comp = {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()}
         sure = [(i, j) for i in range(len(texts)) for j in range(i) if alike(i, j) >= 0.85]
         assert sum(comp[i] == comp[j] for i, j in sure) >= 0.97 * len(sure) and len(sure) > 80
