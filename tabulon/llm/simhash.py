@@ -32,8 +32,8 @@ BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
 #: (first bit, width, radius) of each segment.
 SEGMENTS = ((0, 22, 1), (22, 22, 1), (44, 20, 0))
 #: Buckets of at least ``FEW`` rows whose rows and look-ups make more than ``DENSE`` pairs are searched in blocks of
-#: ``BLOCK`` rows and look-ups. Smaller buckets give each look-up fewer than ``FEW`` pairs.
-FEW, DENSE, BLOCK = 8, 1024, 8192
+#: ``BLOCK`` rows and look-ups, so what is joined pair by pair stays in proportion to rows and look-ups.
+FEW, DENSE, BLOCK = 2, 32, 8192
 #: Fingerprints with at least this share of all documents are joined back by broadcast; there are at most 500.
 HOT_SHARE = 500
 #: Hashes counted together, and bytes of text split together.
