@@ -208,96 +208,184 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The long fingerprints: words that vote on the search bits, five-word shingles that vote on the compared bits.
-WORD_BITS, GRAM_BITS, GRAM = 320, 1024, 5
-#: Differing bits allowed beyond the expected number, about one standard deviation, so that few links are lost.
-MARGIN = 11
-#: Segments of the search bits, each looked up with its Hamming ball of radius 1, and a vote's largest weight.
-WIDTH, HEAVIEST = 30, 12
-_WORD_SEED, _GRAM_SEED = 7, 9
-
-
-def distance_of(similarity: float) -> int:
-    """The expected number of differing compared bits of two sets of equal size and this Jaccard similarity."""
-    return round(GRAM_BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def _votes(hashes: np.ndarray, bits: int, weight: np.ndarray | None = None) -> np.ndarray:
-    """Sums, weighted if there are weights, of each of ``bits`` bits drawn from every hash."""
-    out = np.zeros(bits)
-    for k in range(0, len(hashes), _STEP):
-        h = hashes[k : k + _STEP]
-        words = np.empty((len(h), bits // 64), np.uint64)
-        for j in range(bits // 64):
-            x = h + np.uint64(0x9E3779B97F4A7C15 * (j + 1) & (1 << 64) - 1)
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            words[:, j] = x ^ (x >> np.uint64(31))
-        drawn = np.unpackbits(words.view(np.uint8), axis=1)
-        if weight is not None:
-            out += weight[k : k + _STEP] @ drawn.astype(np.float32)
-            continue
-        for i in range(0, len(drawn), 255):  # sums of 255 bits fit a byte
-            out += np.add.reduce(drawn[i : i + 255], axis=0, dtype=np.uint8)
-    return out
-
-
-def long_fingerprints(text: bytes) -> tuple[list[int], bytes]:
-    """(segments, compared bits) of UTF-8 ``text``; all zero when it has no word.
-
-    Both are majorities over sets: of distinct words, weighted by their length, as short ones are common to all
-    texts of a language, and of distinct shingles.
+#: Words in a shingle of the similarity search, and the seed of its hash.
+GRAM, _GRAM_SEED = 5, 9
+#: Shingles that at least ``FREQUENT`` texts, and one in ``RARE_SHARE`` of all, have in their prefix are ordered by
+#: their number of texts, behind all others. A prefix has about a fifth of a text's shingles, so there are at most as
+#: many frequent ones as ``RARE_SHARE`` texts have in their prefixes.
+FREQUENT, RARE_SHARE = 16, 5000
+#: Buckets of more than ``DENSE`` texts are compared in blocks of ``SETS``; bits of the largest map of wanted texts.
+SETS, MAP_BITS = 512, 1 << 27
+_MIX = 0x9E3779B97F4A7C15
+
+
+def long_fingerprints(text: bytes) -> tuple[int, bytes]:
+    """(mark, shingles) of UTF-8 ``text``: the sorted 64-bit hashes of its distinct five-word shingles, and their hash.
+
+    A text of fewer words has one shingle, a text without words none.
     """
-    own, grams, last, digest = set(), set(), [], xxhash.xxh64_intdigest
+    grams, last, digest = set(), [], xxhash.xxh64_intdigest
     for words in word_lists(text):
-        own.update(words)
         last += words
         grams.update(digest(b" ".join(last[k : k + GRAM]), _GRAM_SEED) for k in range(len(last) - GRAM + 1))
         last = last[1 - GRAM :]
-    if not own:
-        return [0] * (WORD_BITS // WIDTH), bytes(GRAM_BITS // 8)
-    grams = grams or {digest(b" ".join(last), _GRAM_SEED)}
-    own = sorted(own)
-    weight = np.array([min(len(w), HEAVIEST) for w in own], np.float32)
-    ones = _votes(np.array([digest(w, _WORD_SEED) for w in own], np.uint64), WORD_BITS, weight) * 2 > weight.sum()
-    search = ones[: WORD_BITS // WIDTH * WIDTH].reshape(-1, WIDTH) @ (1 << np.arange(WIDTH))
-    hashes = np.sort(np.fromiter(grams, np.uint64, len(grams)))
-    compared = _votes(hashes, GRAM_BITS) * 2 > len(hashes)
-    return search.tolist(), np.packbits(compared).tobytes()
-
-
-def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        both = [long_fingerprints(x.as_py() or b"") for x in batch.column("text").cast(pa.large_binary())]
-        search = pa.array([s for s, _ in both], pa.list_(pa.int64()))
-        marks = [np.frombuffer(m, ">i8").tolist() for _, m in both]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), search, pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "search", "mark"])
+    if not grams and last:
+        grams.add(digest(b" ".join(last), _GRAM_SEED))
+    shingles = np.sort(np.fromiter(grams, np.uint64, len(grams)).view(np.int64)).tobytes()
+    return int(np.uint64(digest(shingles, _GRAM_SEED)).view(np.int64)), shingles
+
+
+def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray):
+    """An Arrow function to (doc_id, node, n, prefix): sets that are similar share a shingle of their prefixes.
+
+    A set's shingles are ordered by how many texts have them and by hash; the first n - ceil(similarity n) + 1 are
+    its prefix. ``frequent`` is sorted; shingles that are not in it count as rare.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, prefixes = [], [], []
+            for x in batch.column("text").cast(pa.large_binary()):
+                node, shingles = long_fingerprints(x.as_py() or b"")
+                own = np.frombuffer(shingles, np.int64)
+                n = len(own)
+                order = np.argsort(own.view(np.uint64) * np.uint64(_MIX))
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+                    order = order[np.argsort(np.where(frequent[at] == own, texts_with[at], 0)[order], kind="stable")]
+                nodes.append(node)
+                sizes.append(n)
+                prefixes.append(own[order[: n - math.ceil(similarity * n - 1e-9) + 1 if n else 0]])
+            flat = np.concatenate([*prefixes, np.empty(0, np.int64)])
+            ends = np.cumsum([0, *map(len, prefixes)])
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), listed], ["doc_id", "node", "n", "prefix"])
+
+    return run
+
+
+def _sets(wanted: np.ndarray, bits: int):
+    """An Arrow function to (node, shingles) of the texts on the map ``wanted``, each at most once a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            nodes, sets = [], []
+            for x in batch.column("text").cast(pa.large_binary()):
+                node, shingles = long_fingerprints(x.as_py() or b"")
+                at = node & bits - 1
+                if wanted[at >> 3] >> (at & 7) & 1 and node not in seen:
+                    seen.add(node)
+                    nodes.append(node)
+                    sets.append(np.frombuffer(shingles, np.int64))
+            flat = np.concatenate([*sets, np.empty(0, np.int64)])
+            listed = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), listed], ["node", "shingles"])
+
+    return run
+
+
+def _map_of(nodes: DataFrame) -> tuple[np.ndarray, int]:
+    """A map with the bit of each of ``nodes`` set, by its last bits; at most ``MAP_BITS`` bits whatever their number."""
+    bits = min(MAP_BITS, 1 << max(15, (32 * nodes.count()).bit_length()))
+    at = nodes.select((F.col("node").bitwiseAND(F.lit(bits - 1))).alias("at"))
+    parts = at.groupBy(F.expr("at div 32768").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("set"))
+    out = np.zeros(bits // 8, np.uint8)
+    for part, own in parts.collect():
+        out[part * 4096 : (part + 1) * 4096] = np.frombuffer(own, np.uint8)
+    return out, bits
+
+
+def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Those of the distinct ``pairs`` (a, b) whose sets have this Jaccard similarity at least."""
+    met = lookup(pairs, known.toDF("a", "set_a"), "a")
+    met = lookup(cut(met), known.toDF("b", "set_b"), "b")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return met.where(both / (F.size("set_a") + F.size("set_b") - both) >= similarity).select("a", "b")
+
+
+def set_forest(sets: list[np.ndarray], group: np.ndarray, stored: np.ndarray, wanted: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of rows that join the same rows as all links between ``stored`` and ``wanted`` rows would, given that
+    rows of the same ``group`` are joined already. Shared elements are counted over lists of the rows of each."""
+    sizes, group, links = np.array([len(s) for s in sets]), group.copy(), []
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(element, kind="stable")]
+    firsts = np.concatenate([[0], np.cumsum(np.bincount(element))])
+    for i in stored:
+        apart = wanted[group[wanted] != group[i]]
+        if len(apart):
+            own = element[starts[i] : starts[i + 1]]
+            both = np.bincount(np.concatenate([holders[firsts[e] : firsts[e + 1]] for e in own]), minlength=len(sets))[apart]
+            near = apart[both / (sizes[i] + sizes[apart] - both) >= similarity]
+            joined, first = np.unique(group[near], return_index=True)
+            links += [(int(i), int(j)) for j in near[first]]
+            group[np.isin(group, joined)] = group[i]
+    return links
+
+
+def _set_forest_of(similarity: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        one = rows.drop_duplicates("node").sort_values("node")
+        node = one["node"].to_numpy(np.int64)
+        place = np.searchsorted(node, rows["node"].to_numpy(np.int64))
+        asks, group = rows["asks"].to_numpy(bool), np.unique(one["root"], return_inverse=True)[1]
+        sets = [np.asarray(x, np.int64) for x in one["shingles"]]
+        pairs = node[np.array(set_forest(sets, group, np.unique(place[~asks]), np.unique(place[asks]), similarity), np.int64).reshape(-1, 2)]
+        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+
+    return run
+
+
+def _apart(shared: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between texts of a bucket that aren't joined yet. ``shared`` is (key, node, n, place, root)."""
+    sizes = shared.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = cut(sizes.where("low != high").select("key", "m"))
+    thin = cut(shared.join(sizes.where(F.col("m") <= DENSE).select("key"), "key"))
+    other = thin.toDF("key", "other", "other_n", "other_place", "other_root")
+    # The first shingle that two similar sets share has enough behind it on both sides.
+    least = f"{similarity / (1 + similarity)} * (n + other_n) - 1e-6"
+    met = thin.join(other, (thin["key"] == other["key"]) & F.expr(f"node < other and root != other_root and least(n - place, other_n - other_place) >= {least}"))
+    linked = _verified(met.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), known, similarity)
+    parts = sizes.where(F.col("m") > DENSE).select("key", F.ceil(F.col("m") / SETS).cast("int").alias("parts"))
+    rows = cut(shared.join(parts, "key").select("key", "node", "root", "parts", F.expr("cast(pmod(xxhash64(node), parts) as int)").alias("own")))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    left = rows.where("true").select("key", "node", "root", F.lit(False).alias("asks"), F.col("own").alias("p"), every.alias("q")).where("p <= q")
+    right = rows.select("key", "node", "root", F.lit(True).alias("asks"), every.alias("p"), F.col("own").alias("q")).where("p <= q")
+    blocks = left.unionByName(right).join(known, "node")
+    return linked.union(blocks.groupBy("key", "p", "q").applyInPandas(_set_forest_of(similarity), "a long, b long"))
 
 
 def similar(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id) for every row of ``docs``: groups of texts linked by similar sets of five-word shingles.
 
-    Two texts meet where one of ten segments of their word fingerprints differs by at most one bit, which texts of
-    similarity 0.8 do with a probability of about 0.99 and unrelated ones hardly ever; they are linked if their
-    shingle fingerprints differ by no more bits than ``similarity`` stands for and ``MARGIN``: texts above it are
-    linked, texts up to about 0.03 below it may be. Equal fingerprints are one node. Null, empty and repeated rows count as in ``near_duplicates``.
+    Two texts are linked if and only if their sets have a Jaccard similarity of at least ``similarity``, but for
+    collisions of 64-bit hashes. Similar sets share a shingle of their prefixes, so texts meet in buckets of these.
+    In each bucket every text is compared with the smallest one first; buckets whose texts that does not join are
+    compared pair by pair, or in blocks. Equal sets are one node. Null, empty and repeated rows count as in
+    ``near_duplicates``.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = in_arrow(rows, _long, "doc_id long, search array<bigint>, mark array<bigint>")
-    rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
-    nodes = cut(rows.groupBy("search", "mark").agg(F.min("row").alias("node"), F.count("*").alias("_n")))
-    named = cut(lookup(rows.withColumn("both", F.struct("search", "mark")).select("doc_id", "both"), nodes.select(F.struct("search", "mark").alias("both"), "node"), "both").drop("both"))
-    stored = nodes.selectExpr("node", "posexplode(search) as (seg, key)")
-    flips = f"transform(filter(transform(sequence(0, {WIDTH - 1}), i -> shiftleft(1L, i)), b -> (key & b) = 0), b -> key | b)"
-    wanted = stored.selectExpr("node", "seg", f"explode(concat(array(key), {flips})) as key")
-    stored, marks = cut(stored), nodes.select("node", "mark")
-    dense, distance = _dense(stored, wanted), distance_of(similarity) + MARGIN
-    thin = stored.join(dense, ["seg", "key"], "left_anti").withColumnRenamed("node", "other")
-    met = wanted.join(thin, ["seg", "key"]).where("node != other").select(*_ordered("node", "other")).distinct()
-    met = met.join(marks.toDF("a", "mark_a"), "a").join(marks.toDF("b", "mark_b"), "b")
-    far = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    edges = met.where(far <= distance).select("a", "b").union(_crowded(stored, wanted, dense, marks, distance))
-    return _components_of(named, edges).select("doc_id", "component_id")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prefixes = lambda f, c: in_arrow(texts, _prefixes(similarity, f, c), "doc_id long, node long, n int, prefix array<bigint>")
+    first = prefixes(np.empty(0, np.int64), np.empty(0, np.int64)).select("node", F.explode("prefix").alias("key"))
+    counts = first.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT)
+    least = max(FREQUENT, docs.count() // RARE_SHARE)
+    got = sorted(map(tuple, counts.where(F.col("c") >= least).collect()))
+    frequent = np.array(got, np.int64).reshape(-1, 2)
+    rows = cut(prefixes(frequent[:, 0].copy(), frequent[:, 1].copy()))
+    named = rows.select("doc_id", "node")
+    nodes = rows.select("node", "n", "prefix").dropDuplicates(["node"])
+    stored = cut(nodes.select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", "place"))
+    buckets = stored.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("centre")).where("m > 1").drop("m")
+    shared = cut(stored.join(buckets, "key"))
+    wanted = cut(shared.select("node").distinct())
+    known = in_arrow(texts.select("text"), _sets(*_map_of(wanted)), "node long, shingles array<bigint>")
+    known = cut(known.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    stars = shared.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    edges = cut(_verified(stars, known, similarity))
+    roots = components(edges)
+    shared = cut(shared.drop("centre").join(roots, "node", "left").select("key", "node", "n", "place", F.coalesce("root", "node").alias("root")))
+    return _components_of(named, edges.union(cut(_apart(shared, known, similarity)))).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

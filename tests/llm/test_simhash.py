@@ -118,3 +118,30 @@ def test_one_of_each_group_stays(spark):
     assert got.columns == docs.columns
     assert sorted((x["doc_id"] or 0) for x in got.collect()) == [0, 0, 4, 7, 9]
     assert simhash.keep_one(docs.limit(0)).collect() == [] and simhash.similar(docs.limit(0)).collect() == []
+
+
+def test_links_are_exact_for_cut_and_appended_passages(spark, monkeypatch):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9)))
+    line, texts = " ".join(word() for _ in range(12)), []
+    for size in (12, 30, 60, 200):
+        for _ in range(12):
+            w = [word() for _ in range(size)]
+            new = [word() for _ in range(size)]
+            texts.append(" ".join(w))
+            for share in (0.15, 0.19, 0.22, 0.25, 0.28, 0.33):
+                k = int(share * size)
+                texts += [" ".join(w + new[:k]), " ".join(new[:k] + w), " ".join(w[k:]), line + " " + " ".join(w[: size - k])]
+    sets = [shingles(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    comp, near = list(range(len(texts))), []
+    for i in range(len(texts)):
+        near += [(i, j) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for _ in range(40):
+        for i, j in near:
+            comp[i] = comp[j] = min(comp[i], comp[j])
+    for dense, frequent in ((32, 16), (3, 4)):
+        monkeypatch.setattr(simhash, "DENSE", dense)
+        monkeypatch.setattr(simhash, "FREQUENT", frequent)
+        monkeypatch.setattr(simhash, "SETS", 8)
+        assert {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()} == dict(enumerate(comp))
