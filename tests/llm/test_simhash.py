@@ -145,3 +145,16 @@ def test_links_are_exact_for_cut_and_appended_passages(spark, monkeypatch):
         monkeypatch.setattr(simhash, "FREQUENT", frequent)
         monkeypatch.setattr(simhash, "SETS", 8)
         assert {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()} == dict(enumerate(comp))
+
+
+def test_texts_below_the_similarity_stay(spark):
+    r = random.Random(10)
+    words = iter(sorted({"".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(9000)}, key=lambda _: r.random()))
+    texts = []
+    for size in [104] * 30:  # 100 shingles; 126 with those of the new words: 0.794
+        w = [next(words) for _ in range(size)]
+        texts += [" ".join(w), " ".join(w + [next(words) for _ in range(26)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()} == {i: i for i in range(len(texts))}
+    assert simhash.keep_one(docs).count() == len(texts)
+    assert simhash.keep_one(docs, 0.79).count() == len(texts) // 2
