@@ -1,8 +1,9 @@
 """Licence scans by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences twice: at line ends, and at sentence ends with lines run together, which finds
-sentences that are wrapped over lines. Normalised sentences (lower case, letters and digits only) that are known
-give the text two sequences of sentence numbers. Rules are sequences of sentences that make up a licence or its
+A text is cut into sentences in three ways: at line ends; at sentence ends with lines run together; and at both, where
+known sentences may run over any number of neighbouring fragments. The last finds notices as they are published, wrapped
+over lines, behind comment signs, with colons and semicolons inside, next to a line without a full stop. Normalised
+sentences (lower case, letters and digits only) that are known give the text three sequences of sentence numbers. Rules are sequences of sentences that make up a licence or its
 notice; they are tried in order, longer ones before the shorter ones they contain, and a match uses up its sentences.
 
 Only texts with one of the ``ANCHORS`` are cut up; every known sentence has one. A text stays one row, so nothing is
@@ -100,6 +101,10 @@ _NAMES = list(SENTENCES)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Where sentences end: a line end; or a sentence mark before white space.
 CUTS = (r"[\n\r]+", r"[.!?:;]+[\x20\x09-\x0D]+")
+#: Where fragments end: at any of these, and a sentence mark at the end of a text.
+ENDS = r"(?:[.!?:;]++(?:[\x20\x09-\x0D]|$)|[\n\r])[\x20\x09-\x0D]*+"
+#: A known sentence from the start of a fragment to the end of one, longer ones first.
+JOINED = r"(?<=\|)(?:" + "|".join(s.replace(" ", "[ |]") for s in sorted(SENTENCES.values(), key=len, reverse=True)) + r")(?=\|)"
 
 
 def _known(text: Column, cuts: str) -> Column:
@@ -109,6 +114,14 @@ def _known(text: Column, cuts: str) -> Column:
     return F.filter(numbers, lambda n: n > 0)
 
 
+def _joined(text: Column) -> Column:
+    """The numbers of the known sentences of a lower-case text that are made up of whole neighbouring fragments."""
+    plain = F.regexp_replace(text, r"[^a-z0-9.!?:;\x20\x09-\x0D]+", " ")
+    plain = F.regexp_replace(F.regexp_replace(plain, ENDS, "|"), "[^a-z0-9|]+", " ")
+    plain = F.regexp_replace(F.concat(F.lit("|"), plain, F.lit("|")), r"\x20?\|[\x20|]*+", "|")
+    return F.transform(F.regexp_extract_all(plain, F.lit(JOINED), F.lit(0)), lambda s: F.array_position(F.lit(list(SENTENCES.values())), F.translate(s, "|", " ")))
+
+
 def _coded(numbers: Column) -> Column:
     return F.array_join(F.transform(numbers, lambda n: F.concat(F.lit("<"), n.cast("string"), F.lit(">"))), "")
 
@@ -132,17 +145,18 @@ def _matched(coded: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_sentences, sentences, rules, licences) for every row of ``docs``.
 
-    n_sentences counts the known sentences of the cut that knows more (line ends, if equal); sentences names them in
-    order; rules lists the rules that match either cut, from 0, in order; licences lists their licences, each once.
+    n_sentences counts the known sentences of the cut that knows most (the first of these, if equal); sentences names
+    them in order; rules lists the rules that match any cut, from 0, in order; licences lists their licences, each once.
     Lists are joined by commas and empty where nothing is known, as for null and empty texts. Rows are independent:
     repeated rows give repeated results, no rows give none.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER).alias("text"))
     may = F.col("text").rlike("|".join(ANCHORS))
     none = F.array().cast("array<bigint>")
-    own = own.select("doc_id", *(F.when(may, _known(F.col("text"), c)).otherwise(none).alias(f"by_{k}") for k, c in enumerate(CUTS)))
-    own = own.withColumn("rules", F.array_sort(F.array_union(*(F.when(F.size(f"by_{k}") > 0, _matched(_coded(F.col(f"by_{k}")))).otherwise(F.array().cast("array<int>")) for k in range(2)))))
+    own = own.select("doc_id", *(F.when(may, _known(F.col("text"), c)).otherwise(none).alias(f"by_{k}") for k, c in enumerate(CUTS)), F.when(may, _joined(F.col("text"))).otherwise(none).alias("by_2"))
+    own = own.withColumn("rules", F.array_sort(F.array_distinct(F.concat(*(F.when(F.size(f"by_{k}") > 0, _matched(_coded(F.col(f"by_{k}")))).otherwise(F.array().cast("array<int>")) for k in range(3))))))
     more = F.when(F.size("by_1") > F.size("by_0"), F.col("by_1")).otherwise(F.col("by_0"))
+    more = F.when(F.size("by_2") > F.size(more), F.col("by_2")).otherwise(more)
     names = F.array_join(F.transform(more, lambda n: F.get(F.lit(_NAMES), (n - 1).cast("int"))), ",")
     licences = F.array_join(F.array_distinct(F.transform("rules", lambda r: F.get(F.lit([x for x, _ in RULES]), r))), ",")
     return own.select("doc_id", F.size(more).cast("long").alias("n_sentences"), names.alias("sentences"), F.array_join(F.transform("rules", lambda r: r.cast("string")), ",").alias("rules"), licences.alias("licences"))

@@ -46,3 +46,84 @@ def test_against_brute_force(spark):
         assert tuple(r)[1:] == brute(text), text
     assert {r["licences"] for r in got if r["doc_id"] in (3, 4, 5, 8, 9)} == {"MIT", "proprietary", "BSD-3-Clause", "BSD-2-Clause,proprietary"}
     assert licences.scan(docs.limit(0)).collect() == []
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+GPL = """    Copyright (C) 2020  Jane Doe
+
+    This program is free software{} you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation{} either version {} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 3 of the License, or (at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_3 = """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+APACHE = """Copyright 2020 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_published_wrapped_notices(spark):
+    comment = lambda t, sign: "\n".join(f"{sign} {x}".rstrip() for x in t.split("\n"))
+    notices = [
+        (MIT, 0, "MIT"), (GPL.format(":", ",", 3), 5, "GPL-3.0-or-later"), (GPL.format(";", ";", 2), 7, "GPL-2.0-or-later"), (LGPL, 9, "LGPL-3.0-or-later"),
+        (BSD, 11, "BSD-2-Clause"), (BSD + BSD_3, 10, "BSD-3-Clause"), (APACHE, 3, "Apache-2.0"), ("Copyright 2020 Foo\nLicensed under the MIT License. See LICENSE.", 19, "MIT"),
+    ]
+    texts = [(form(t), rule, name) for t, rule, name in notices for form in (str, lambda t: comment(t, "//"), lambda t: comment(t, " *"), lambda t: t.replace("\n", "\r\n"))]
+    docs = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(texts)], "doc_id long, text string")
+    for r in licences.scan(docs).collect():
+        text, rule, name = texts[r["doc_id"]]
+        assert str(rule) in r["rules"].split(",") and r["licences"] == name, text
