@@ -1,9 +1,10 @@
 """Personal data by candidate generation and gradient-boosted trees, in DataFrame functions only.
 
 Base matches of the four kinds (email, ip, card, phone) are always spans. High-recall generators propose further,
-overlapping candidates: every run of digits and separators as an address, a card and a telephone number, and every
-spelt-out mail address. Boosted trees score a candidate from its format and from the words in front of it, and the
-candidates above their kind's threshold that touch no base span, best first within a run, become spans too. The
+overlapping candidates: of every run of digits and separators each part of 7 to 23 digits between separators as an address,
+a card and a telephone number, and every spelt-out mail address. Boosted trees score a candidate from its format, its
+neighbours in the run and the words in front of it, and the candidates above their kind's threshold that touch no base
+span, best first within a run, become spans too. The
 trees are trained here on generated examples, and each threshold is calibrated on examples held out from them.
 
 A document is one row from end to end: all its matches live in arrays, so nothing is shuffled and one document's
@@ -13,6 +14,8 @@ work does not depend on another's. Patterns are possessive or bounded, so that l
 from __future__ import annotations
 
 import random
+import re
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -29,7 +32,8 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Proposals: runs of digits and separators, and mail addresses with a spelt-out @ or dot.
-RUN = r"(?<![0-9A-Za-z])[(]?[0-9](?:[\x20().,:/_-]{0,3}[0-9]){6,22}(?![0-9A-Za-z])"
+RUN = r"(?<![0-9A-Za-z])[(]?[0-9]++(?![A-Za-z])(?:[\x20().,:/_-]{1,3}[0-9]++(?![A-Za-z]))*+"
+LEAST_DIGITS, MOST_DIGITS = 7, 23
 SPELT = (
     r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}\x20?(?:[\[({<]\x20?at\x20?[\])}>]|@)\x20?"
     r"[a-z0-9-]{1,63}(?:\x20?(?:[\[({<]\x20?dot\x20?[\])}>]|\.)\x20?[a-z0-9-]{2,63}){1,4}"
@@ -44,21 +48,27 @@ CONTEXT = {
 REACH = 24
 #: Training: examples a template, rounds, learning rate, and the precision that a threshold must reach when held out.
 EXAMPLES, ROUNDS, RATE, PRECISION = 24, 30, 0.4, 0.995
-FEATURES = ("digits", "groups", "longest", "shortest", "dots", "dashes", "spaces", "others", "brackets", "zeros", "luhn", "octets", "at", "dot", "c_email", "c_ip", "c_card", "c_phone")
+FEATURES = ("digits", "groups", "longest", "shortest", "dots", "dashes", "spaces", "others", "brackets", "zeros", "luhn", "octets", "at", "dot", "tied", "spaced", "c_email", "c_ip", "c_card", "c_phone")
 #: Fixed templates: kind, whether it is personal data, and the text, in which 9 stands for any digit, 5 for one of
-#: 1 to 9, and L for digits that make the whole pass the Luhn check.
+#: 1 to 9, and L for digits that make the whole pass the Luhn check. In lists, ~ parts what stands between numbers from
+#: them, and a number in << >> is none.
 TEMPLATES = (
     ("phone", 1, "(599) 999-9999"), ("phone", 1, "599-999-9999"), ("phone", 1, "phone 599.999.9999"), ("phone", 1, "tel: 599 999 9999"),
     ("phone", 1, "call 5999999999"), ("phone", 1, "0059 59 9999 9999"), ("phone", 1, "fax 099 9999999"), ("phone", 1, "mobile 09999 999999"),
-    ("phone", 0, "2099-09-09 09:09"), ("phone", 0, "09.09.2099 09:09"), ("phone", 0, "59,999,999"), ("phone", 0, "59999999"),
+    ("phone", 1, "(599) 999-9999~, ~(599) 999-9999"), ("phone", 1, "599-999-9999~ / ~599-999-9999"), ("phone", 1, "<<2099-09-09>>~ ~(599) 999-9999"),
+    ("phone", 1, "(599) 999-9999~, ~(599) 999-9999~, ~(599) 999-9999~, ~(599) 999-9999"), ("phone", 1, "599-999-9999~ ~599-999-9999~ ~599-999-9999"),
+    ("phone", 1, "599-999-9999~, ~599-999-9999~, ~599-999-9999"), ("phone", 1, "(599) 999-9999~ / ~599-999-9999"), ("phone", 1, "<<2099-09-09 09:09>>~ ~599-999-9999"),
+    ("phone", 1, "<<59>>~, ~(599) 999-9999"), ("phone", 1, "(599) 999-9999~, ~<<59>>~, ~<<59.99>>"), ("phone", 1, "<<599>>~ ~599-999-9999~ ~<<59>>"),
+    ("phone", 0, "2099-09-09 09:09"), ("phone", 0, "2099-09-09, 2099-09-09, 2099-09-09"), ("phone", 0, "599 999 9999 599 99 9999"), ("phone", 0, "59.9, 99.9, 599.99, 9.99"), ("phone", 0, "09.09.2099 09:09"), ("phone", 0, "59,999,999"), ("phone", 0, "59999999"),
     ("phone", 0, "5999999999"), ("phone", 0, "order 599999-9999"), ("phone", 0, "599, 599, 599"), ("phone", 0, "5.99.99.99.9"), ("phone", 0, "59:99:99.999"),
     ("phone", 0, "59/59/59/59"), ("phone", 0, "978-5-999-99999-9"), ("phone", 0, "599-599-599-599"), ("phone", 0, "5999 5999 5999 5999"),
     ("card", 1, "LLLL.LLLL.LLLL.LLLL"), ("card", 1, "LLLL_LLLL_LLLL_LLLL"), ("card", 1, "card LLLL/LLLL/LLLL/LLLL"), ("card", 1, "visa LLLLLLLLLLLLL"),
     ("card", 1, "LLLL  LLLL  LLLL  LLLL"), ("card", 1, "credit card: LLLL - LLLL - LLLL - LLLL"), ("card", 1, "amex LLLL.LLLLLL.LLLLL"),
-    ("card", 0, "5999.9999.9999.9999"), ("card", 0, "5999999999999"), ("card", 0, "LLLLLLLLLLLLL"), ("card", 0, "2099-09-09 09:09:09"), ("card", 0, "599,599,599,599"),
+    ("card", 1, "LLLL.LLLL.LLLL.LLLL~, ~LLLL.LLLL.LLLL.LLLL"), ("card", 1, "LLLL_LLLL_LLLL_LLLL~ / ~LLLL_LLLL_LLLL_LLLL"),
+    ("card", 0, "(599) 999-9999, (599) 999-9999"), ("card", 0, "599-999-9999, 599-999-9999"), ("card", 0, "5999.9999.9999.9999"), ("card", 0, "5999999999999"), ("card", 0, "LLLLLLLLLLLLL"), ("card", 0, "2099-09-09 09:09:09"), ("card", 0, "599,599,599,599"),
     ("card", 0, "09.09.2099 - 09.09.2099"), ("card", 0, "978-5-999-99999-9"), ("card", 0, "5 9 9 9 9 9 9"), ("card", 0, "5:99:99:99:99"), ("card", 0, "card 59999999"),
     ("ip", 1, "ip 599-99-99-99"), ("ip", 1, "host 59,59,59,59"), ("ip", 1, "server 199 99 99 99"), ("ip", 1, "ip address: 59_59_59_59"),
-    ("ip", 0, "59-59-59-59"), ("ip", 0, "59/59/59/59"), ("ip", 0, "599 99 99 99"), ("ip", 0, "2099-09-09 09:09"), ("ip", 0, "ip 5999999999"),
+    ("ip", 0, "(599) 999-9999, (599) 999-9999"), ("ip", 0, "59-59-59-59"), ("ip", 0, "59/59/59/59"), ("ip", 0, "599 99 99 99"), ("ip", 0, "2099-09-09 09:09"), ("ip", 0, "ip 5999999999"),
     ("ip", 0, "server 5999-9999"), ("ip", 0, "(599) 999-9999"), ("ip", 0, "59,999,999"), ("ip", 0, "5.9.9.9.9.9.9"), ("ip", 0, "599-999-9999"),
     ("email", 1, "name [at] mail5 [dot] com"), ("email", 1, "some.name(at)mail9.com"), ("email", 1, "email a.b at5 (at) host (dot) net"), ("email", 1, "n99 <at> host99 <dot> org"),
     ("email", 1, "contact me9 @ host9.com"), ("email", 1, "mail: me9@ host.co.uk"),
@@ -66,6 +76,11 @@ TEMPLATES = (
 )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _running(lens: Column) -> Column:
     """Sums of all that stand before each element of an array of longs, in blocks so that long arrays stay cheap."""
     none = F.array().cast("array<bigint>")
@@ -107,12 +122,15 @@ def _digits(text: Column) -> Column:
 
 def _luhn(digits: Column, width: int = 24) -> Column:
     """Whether up to ``width`` digits pass the Luhn check."""
-    padded = F.lpad(digits, width, "0")
-    total = F.lit(0)
-    for i in range(width):
-        d = F.substring(padded, width - i, 1).cast("int")
-        total = total + (d if i % 2 == 0 else F.when(d > 4, d * 2 - 9).otherwise(d * 2))
-    return (F.length(digits) > 0) & (F.length(digits) <= width) & (total % 10 == 0)
+
+    def total(padded: Column) -> Column:
+        out = F.lit(0)
+        for i in range(width):
+            d = F.substring(padded, width - i, 1).cast("int")
+            out = out + (d if i % 2 == 0 else F.when(d > 4, d * 2 - 9).otherwise(d * 2))
+        return out
+
+    return (F.length(digits) > 0) & (F.length(digits) <= width) & (_let(F.lpad(digits, width, "0"), total) % 10 == 0)
 
 
 def _valid(kind: str, text: Column) -> Column:
@@ -151,20 +169,60 @@ def _features(s: Column) -> list[Column]:
         F.length(_digits(t)), F.size(groups), F.coalesce(F.array_max(sizes), F.lit(0)), F.coalesce(F.array_min(sizes), F.lit(0)),
         count(r"\."), count("-"), count(" "), count("[,:/_]"), count("[()]"), flag(t.startswith("00")), flag(_luhn(_digits(t))), flag(octets),
         flag(t.rlike(r"(?i)[\[({<]\x20?at\x20?[\])}>]")), flag(t.rlike(r"(?i)[\[({<]\x20?dot\x20?[\])}>]")),
+        flag(s["left"].rlike(r"^[.,:/_-][(]?$")) + flag(s["right"].rlike("^[.,:/_-]$")), flag(s["left"].rlike(r"^[)]?\x20[(]?$")) + flag(s["right"].rlike(r"^[)]?\x20$")),
         *(flag(before.rlike(CONTEXT[k])) for k in KINDS),
     ]
 
 
+def _parts(run: Column) -> Column:
+    """Structs (start, stop, text, before, left, right) of the parts of a run that begin and end at a separator and have
+    ``LEAST_DIGITS`` to ``MOST_DIGITS`` digits; left and right are the separators beside it within the run."""
+    digits = F.regexp_extract_all(run["text"], F.lit("[0-9]+"), F.lit(0))
+    lines = F.struct(digits.alias("digits"), F.split(run["text"], "[0-9]+", -1).alias("seps"), F.concat(run["before"], run["text"]).alias("all"), F.length(run["before"]).alias("skip"), run["start"].alias("start"))
+
+    def measured(r: Column) -> Column:
+        whole = F.zip_with(F.slice(r["seps"], 1, F.size(r["digits"])), r["digits"], lambda s, d: (F.length(s) + F.length(d)).cast("long"))
+        own = F.transform(r["digits"], lambda d: F.length(d).cast("long"))
+        return F.struct(*(r[c].alias(c) for c in ("digits", "seps", "all", "skip", "start")), _running(whole).alias("ends"), _running(own).alias("before"))
+
+    def window(r: Column, i: Column) -> Column:
+        """What a part from group i can reach, so that parts of long runs are taken from short texts."""
+        left = F.get(r["seps"], i)
+        start = F.get(r["ends"], i) + F.length(left) - left.endswith("(").cast("int")
+        reach = F.least(F.lit(REACH), r["skip"] + start)
+        near = F.substring(r["all"], (r["skip"] + start - reach + 1).cast("int"), (reach + 4 * MOST_DIGITS + 1).cast("int"))
+        return F.struct(start.alias("start"), reach.cast("int").alias("reach"), near.alias("near"), F.when(i > 0, left).otherwise("").alias("left"))
+
+    def part(r: Column, w: Column, j: Column) -> Column:
+        stop = F.get(r["ends"], j) + F.length(F.get(r["seps"], j)) + F.length(F.get(r["digits"], j))
+        return F.struct(
+            (r["start"] + w["start"]).alias("start"), (r["start"] + stop).alias("stop"),
+            F.substring(w["near"], w["reach"] + 1, (stop - w["start"]).cast("int")).alias("text"),
+            F.substring(w["near"], F.lit(1), w["reach"]).alias("before"), w["left"].alias("left"), F.get(r["seps"], j + 1).alias("right"),
+        )
+
+    def at(r: Column, i: Column) -> Column:
+        last = F.least(F.size(r["digits"]) - 1, i + MOST_DIGITS - 1)
+        many = lambda j: F.get(r["before"], j) + F.length(F.get(r["digits"], j)) - F.get(r["before"], i)
+        fit = F.filter(F.sequence(i, last), lambda j: many(j).between(LEAST_DIGITS, MOST_DIGITS))
+        return F.when(F.size(fit) > 0, _let(window(r, i), lambda w: F.transform(fit, lambda j: part(r, w, j)))).otherwise(none)
+
+    none = F.array().cast("array<struct<start:bigint,stop:bigint,text:string,before:string,left:string,right:string>>")
+    return _let(lines, lambda r: _let(measured(r), lambda m: F.flatten(F.transform(F.sequence(F.lit(0), F.size(m["digits"]) - 1), lambda i: at(m, i)))))
+
+
 def _proposals(text: Column) -> Column:
-    """Proposals as structs (start, stop, spelt, f) with their features f."""
+    """Arrays of overlapping proposals, structs (start, stop, spelt, f) with their features f; one for each run."""
     runs = _found(text, RUN, text.rlike("[0-9][^A-Za-z]{0,12}[0-9]"))
+    runs = F.filter(runs, lambda r: F.length(_digits(r["text"])) >= LEAST_DIGITS)
     spelt = _found(text, SPELT, text.contains("@") | text.rlike(r"(?i)[\[({<]\x20?at\x20?[\])}>]"))
 
     def with_features(found: Column, is_spelt: bool) -> Column:
         make = lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit(is_spelt).alias("spelt"), F.array(*_features(s)).alias("f"))
         return F.transform(found, make)
 
-    return F.concat(with_features(runs, False), with_features(spelt, True))
+    alone = lambda s: F.struct(*(s[c].alias(c) for c in ("start", "stop", "text", "before")), F.lit("").alias("left"), F.lit("").alias("right"))
+    return F.concat(F.transform(runs, lambda r: with_features(_parts(r), False)), F.transform(spelt, lambda s: with_features(F.array(alone(s)), True)))
 
 
 Tree = tuple  # (feature, limit, left, right), or a leaf's value
@@ -210,23 +268,34 @@ def boost(x: np.ndarray, y: np.ndarray) -> list[Tree | float]:
     return trees
 
 
-def examples(seed: int = 7) -> list[tuple[str, int, str]]:
-    """Generated (kind, label, text) rows, ``EXAMPLES`` for each template; nothing comes from the corpus."""
+def _filled(r: random.Random, kind: str, label: int, shape: str) -> str:
+    if not ("9" in shape or "5" in shape or "L" in shape):
+        return shape
+    text = "".join(str(r.randrange(10)) if c in "9L" else str(r.randint(1, 9)) if c == "5" else c for c in shape)
+    if kind == "ip" and label:
+        text = "".join(str(r.randrange(10)) if c == "9" else str(r.randint(1, 2)) if c == "5" else c for c in shape.replace("599", "199"))
+    if "L" in shape:
+        digits = [int(c) for c in text if c.isdigit()]
+        odd = sum(d if k % 2 == 0 else (d * 2 - 9 if d > 4 else d * 2) for k, d in enumerate(reversed(digits)))
+        text = text[:-1] + str((int(text[-1]) - odd) % 10)
+    return text
+
+
+def examples(seed: int = 7) -> list[tuple[str, list[tuple[int, int]], str]]:
+    """Generated (kind, spans, text) rows, ``EXAMPLES`` for each template; nothing comes from the corpus."""
     r, out = random.Random(seed), []
     for kind, label, shape in TEMPLATES:
         for _ in range(EXAMPLES):
-            if "9" in shape or "5" in shape or "L" in shape:
-                text = "".join(str(r.randrange(10)) if c in "9L" else str(r.randint(1, 9)) if c == "5" else c for c in shape)
-                if kind == "ip" and label:
-                    text = "".join(str(r.randrange(10)) if c == "9" else str(r.randint(1, 2)) if c == "5" else c for c in shape.replace("599", "199"))
-            else:
-                text = shape
-            if "L" in shape:
-                digits = [int(c) for c in text if c.isdigit()]
-                odd = sum(d if k % 2 == 0 else (d * 2 - 9 if d > 4 else d * 2) for k, d in enumerate(reversed(digits)))
-                last = text[-1]
-                text = text[:-1] + str((int(last) - odd) % 10)
-            out.append((kind, label, text))
+            text, spans = "", []
+            for piece in shape.split("~"):
+                own = _filled(r, kind, label, piece.removeprefix("<<").removesuffix(">>"))
+                number = re.search("[(]?[0-9].*[0-9]", own)
+                if label and kind == "email":
+                    spans.append((0, len(own)))
+                elif label and number and not piece.startswith("<<"):
+                    spans.append((len(text) + number.start(), len(text) + number.end()))
+                text += own
+            out.append((kind, spans, text))
     return out
 
 
@@ -236,14 +305,15 @@ def train(spark: SparkSession) -> dict[str, tuple[list, float]]:
     The examples' features come from the expressions that documents use; even examples train, odd ones calibrate:
     the threshold is the lowest score whose held-out precision reaches ``PRECISION``, and not below even odds.
     """
-    lines = "\n".join(f"{k}|{label}|{t}" for k, label, t in examples())
+    given = examples()
+    lines = "\n".join(f"{k}|{t}" for k, _, t in given)
     rows = spark.range(1).select(F.posexplode(F.split(F.lit(lines), "\n")).alias("n", "line"))
-    rows = rows.select("n", F.split("line", r"\|").alias("p")).select("n", F.col("p")[0].alias("kind"), F.col("p")[1].cast("int").alias("label"), F.col("p")[2].alias("t"))
-    got = rows.select("n", "kind", "label", F.inline(_proposals(F.col("t")))).where((F.col("kind") == "email") == F.col("spelt")).collect()
+    rows = rows.select("n", F.split("line", r"\|").alias("p")).select("n", F.col("p")[0].alias("kind"), F.col("p")[1].alias("t"))
+    got = rows.select("n", "kind", F.inline(F.flatten(_proposals(F.col("t"))))).where((F.col("kind") == "email") == F.col("spelt")).collect()
     model = {}
     for kind in KINDS:
-        own = [g for g in sorted(got, key=lambda g: (g["n"], g["start"])) if g["kind"] == kind]
-        x, y = np.array([g["f"] for g in own]), np.array([g["label"] for g in own])
+        own = [g for g in sorted(got, key=lambda g: (g["n"], g["start"], g["stop"])) if g["kind"] == kind]
+        x, y = np.array([g["f"] for g in own]), np.array([int(bool(given[g["n"]][1]) if g["spelt"] else (g["start"], g["stop"]) in given[g["n"]][1]) for g in own])
         fit = np.array([g["n"] % 2 == 0 for g in own])
         trees = boost(x[fit], y[fit])
         score = RATE * sum(_apply(t, x[~fit]) for t in trees)
@@ -257,21 +327,26 @@ def train(spark: SparkSession) -> dict[str, tuple[list, float]]:
 
 
 def _added(proposals: Column, base: Column, model: dict[str, tuple[list, float]]) -> Column:
-    """Proposals above their kind's threshold that touch no base span; the best kind of each, leftmost first."""
+    """Proposals above their kind's threshold that touch no base span, with the best kind of each; of overlapping ones those of higher scores."""
 
     def judge(p: Column) -> Column:
         best = []
         for rank, kind in enumerate(KINDS):
             trees, limit = model[kind]
             score = reduce(lambda a, b: a + b, (_column(t, p["f"]) for t in trees)) * RATE
-            fits = (p["spelt"] == F.lit(kind == "email")) & (score >= limit)
-            best.append(F.struct(F.when(fits, score).alias("score"), F.lit(rank).alias("kind")))
+            best.append(F.struct(_let(score, lambda x: F.when((p["spelt"] == F.lit(kind == "email")) & (x >= limit), x)).alias("score"), F.lit(rank).alias("kind")))
         top = F.array_max(F.array(*best))
-        return F.struct(p["start"].alias("start"), top["kind"].alias("kind"), p["stop"].alias("stop"), top["score"].alias("score"))
+        return _let(top, lambda x: F.struct(p["start"].alias("start"), x["kind"].alias("kind"), p["stop"].alias("stop"), x["score"].alias("score")))
+
+    def chosen(run: Column) -> Column:
+        judged = F.filter(F.transform(run, judge), lambda s: s["score"].isNotNull() & ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+        best = F.array_sort(F.transform(judged, lambda s: F.struct((-s["score"]).alias("rank"), s["start"], s["kind"], s["stop"])))
+        none = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint>>")
+        own = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"))
+        meets = lambda a, s: F.exists(a, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
+        return F.aggregate(best, none, lambda a, s: F.when(meets(a, s), a).otherwise(F.concat(a, F.array(own(s)))))
 
-    judged = F.filter(F.transform(proposals, judge), lambda s: s["score"].isNotNull())
-    free = F.filter(judged, lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return F.transform(free, lambda s: F.struct(s["start"], s["kind"], s["stop"]))
+    return F.flatten(F.transform(proposals, chosen))
 
 
 def spans(docs: DataFrame, text_col: str = "text", base_as: str = "base", all_as: str = "spans") -> DataFrame:

@@ -60,3 +60,14 @@ def test_added_spans_and_redaction(spark):
 def test_trees_part_held_out_examples(spark):
     model = pii.train(spark)
     assert set(model) == set(pii.KINDS) and all(limit < 1e8 for _, limit in model.values())
+
+
+def test_every_number_of_a_list_is_scored(spark):
+    texts = {
+        "(212) 555-0123, (212) 555-0199": "[PHONE], [PHONE]", "212-555-0123 / 646-555-0199": "[PHONE] / [PHONE]", "2024-01-02 (212) 555-0123": "2024-01-02 [PHONE]",
+        "(212) 555-0123, (212) 555-0199, (212) 555-0147, (212) 555-0158": "[PHONE], [PHONE], [PHONE], [PHONE]", "+1 (743) 555-3824, (743) 555-3824": "[PHONE], [PHONE]",
+        "2024-01-02 10:20, 2024-01-03 11:30": "2024-01-02 10:20, 2024-01-03 11:30",
+    }
+    docs = spark.createDataFrame([(k, f"see {t} there") for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert [got[k] for k in range(len(texts))] == [f"see {t} there" for t in texts.values()]
