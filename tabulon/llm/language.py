@@ -25,6 +25,8 @@ from .tokens import MODEL
 
 #: At most so many documents of each language, by hash of the id, train its model; added counts for smoothing.
 FIT_ROWS, ADDED = 2000, 0.1
+#: Log weight that a byte of a short part gains, which keeps products of many small probabilities in range.
+SHIFT = 2.0
 SEED = 8
 #: Distinct words kept from one group of texts to the next, and characters in a group.
 KEPT, STEP = 400_000, 1 << 20
@@ -39,55 +41,80 @@ def words(text: str) -> list[str]:
     return [MARK + w for w in _OTHER.sub(" ", text.lower()).split()]
 
 
+def _places(start: np.ndarray, end: np.ndarray, size: int, log_p: np.ndarray) -> np.ndarray:
+    """(size + 1, models): log of the sum over all ways from 0 to each place; pieces come by end."""
+    total = np.full((size + 1, log_p.shape[1]), -np.inf)
+    total[0] = 0.0
+    into = np.searchsorted(end, np.arange(size + 2)).tolist()
+    for j in range(1, size + 1):
+        if into[j] < into[j + 1]:
+            total[j] = np.logaddexp.reduce(total[start[into[j] : into[j + 1]]] + log_p[into[j] : into[j + 1]], axis=0)
+    return total
+
+
+def _batches(vocabulary: Vocabulary, parts: list[str]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """(places, bytes) of the short parts of known characters, those of one length together."""
+    simple = np.array([n for n, u in enumerate(parts) if vocabulary.simple(u)], np.int64)
+    for positions, codes in by_length([parts[n] for n in simple]):
+        for k in range(0, len(codes), 8192):
+            yield simple[positions[k : k + 8192]], codes[k : k + 8192]
+
+
 def forward(vocabulary: Vocabulary, units: list[str], log_p: np.ndarray) -> np.ndarray:
-    """(units, languages): log of the sum over all segmentations of each unit; ``log_p`` is (pieces, languages)."""
-    out = np.full((len(units), log_p.shape[1]), -np.inf)
-    simple = [n for n, u in enumerate(units) if vocabulary.simple(u)]
-    shift = 2.0  # keeps products of many small probabilities in range
-    for positions, codes in by_length([units[n] for n in simple]):
+    """(units, languages): log of the sum over all segmentations of each unit; ``log_p`` is (pieces, languages).
+
+    A unit's sum is the product of its parts', as no piece crosses them.
+    """
+    if not units:
+        return np.zeros((0, log_p.shape[1]))
+    parts, flat, begin = vocabulary.in_parts(units)
+    out = np.full((len(parts), log_p.shape[1]), -np.inf)
+    for own, codes in _batches(vocabulary, parts):
         length = len(codes[0])
-        for k in range(0, len(codes), 8192):
-            part = codes[k : k + 8192]
-            total = np.zeros((length + 1, len(part), log_p.shape[1]))
-            total[0] = 1.0
-            for i, j, rows, ids in vocabulary.spans(part):
-                total[j, rows] += total[i, rows] * np.exp(log_p[ids] + shift * (j - i))
-            with np.errstate(divide="ignore"):
-                out[[simple[p] for p in positions[k : k + 8192]]] = np.log(total[length]) - shift * length
+        total = np.zeros((length + 1, len(codes), log_p.shape[1]))
+        total[0] = 1.0
+        for i, j, rows, ids in vocabulary.spans(codes):
+            total[j, rows] += total[i, rows] * np.exp(log_p[ids] + SHIFT * (j - i))
+        with np.errstate(divide="ignore"):
+            out[own] = np.log(total[length]) - SHIFT * length
     for n in np.flatnonzero(~np.isfinite(out).all(axis=1)):
-        edges = vocabulary.edges(units[n])
-        total = np.full((len(edges) + 1, log_p.shape[1]), -np.inf)
-        total[0] = 0.0
-        for i, own in enumerate(edges):
-            for j, piece in own:
-                total[j] = np.logaddexp(total[j], total[i] + log_p[piece])
-        out[n] = total[-1]
-    return out
+        size, start, end, ids = vocabulary.lattice(parts[n])
+        out[n] = _places(start, end, size, log_p[ids])[size]
+    return np.add.reduceat(out[flat], begin, axis=0)
 
 
 def expected(vocabulary: Vocabulary, units: list[str], times: np.ndarray, log_p: np.ndarray) -> np.ndarray:
     """Expected count of each piece in ``units``, each seen so many ``times``, under one model ``log_p`` (pieces)."""
     out = np.zeros(vocabulary.size)
-    shift = 2.0
-    simple = [n for n, u in enumerate(units) if vocabulary.simple(u)]
-    for positions, codes in by_length([units[n] for n in simple]):
-        length, own = len(codes[0]), times[[simple[p] for p in positions]]
+    if not units:
+        return out
+    parts, flat, begin = vocabulary.in_parts(units)
+    seen = np.bincount(flat, weights=np.repeat(times, np.diff(begin, append=len(flat))), minlength=len(parts))
+    done = np.zeros(len(parts), bool)
+    for own, codes in _batches(vocabulary, parts):
+        length = len(codes[0])
         spans = vocabulary.spans(codes)
-        weights = [np.exp(log_p[ids] + shift * (j - i)) for i, j, _, ids in spans]
+        weights = [np.exp(log_p[ids] + SHIFT * (j - i)) for i, j, _, ids in spans]
         before, after = np.zeros((length + 1, len(codes))), np.zeros((length + 1, len(codes)))
         before[0], after[length] = 1.0, 1.0
         for (i, j, rows, _), w in zip(spans, weights):
             before[j, rows] += before[i, rows] * w
         for (i, j, rows, _), w in zip(reversed(spans), reversed(weights)):
             after[i, rows] += after[j, rows] * w
-        fine = before[length] > 0
-        scale = np.where(fine, own / np.where(fine, before[length], 1.0), 0.0)
+        fine = (before[length] > 0) & np.isfinite(before[length])
+        scale = np.where(fine, seen[own] / np.where(fine, before[length], 1.0), 0.0)
         for (i, j, rows, ids), w in zip(spans, weights):
             out += np.bincount(ids, weights=before[i, rows] * w * after[j, rows] * scale[rows], minlength=vocabulary.size)
-    for n in set(range(len(units))) - set(simple):  # unknown characters: all their bytes count
-        for own in vocabulary.edges(units[n]):
-            for _, piece in own[:1]:
-                out[piece] += times[n]
+        done[own] = fine
+    for n in np.flatnonzero(~done):
+        size, start, end, ids = vocabulary.lattice(parts[n])
+        own = log_p[ids][:, None]
+        before = _places(start, end, size, own)[:, 0]
+        back = np.lexsort((size - end, size - start))  # the same lattice from its other end
+        after = _places((size - end)[back], (size - start)[back], size, own[back])[::-1, 0]
+        if np.isfinite(before[size]):
+            share = np.exp(before[start] + own[:, 0] + after[end] - before[size])
+            out += np.bincount(ids, weights=share * seen[n], minlength=vocabulary.size)
     return out
 
 
@@ -120,14 +147,20 @@ class Model:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: str = MODEL) -> Model:
-    """Models of all languages of ``docs``, from at most ``FIT_ROWS`` of each one's rows.
+    """Models of all languages of ``docs``, from at most ``FIT_ROWS`` of each one's ids.
 
-    Rows with a null language don't count. The driver gets one count for each language and piece.
+    Rows with a null language don't count. Ids are first cut down by hash to about three times as many as are wanted, by
+    an approximate count, so that no language's rows have to meet in one task. The driver gets one count for each
+    language and piece.
     """
     pieces = read_model(model)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).where("lang is not null")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(SEED)), "id"))
-    chosen = cut(rows.withColumn("n", place).where(F.col("n") <= FIT_ROWS).select("id", "lang").distinct())
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("id").alias("ids"))
+    h = F.xxhash64("id", F.lit(SEED))
+    few = F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53) * F.col("ids") < 3.0 * FIT_ROWS
+    rows = rows.join(F.broadcast(sizes), "lang").where(few).select("id", "lang").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(h, "id"))
+    chosen = cut(rows.withColumn("n", place).where(F.col("n") <= FIT_ROWS).select("id", "lang"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text")
     got = in_arrow(known, _counter(pieces), "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()

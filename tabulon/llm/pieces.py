@@ -1,21 +1,27 @@
 """Piece lattices over a fixed public SentencePiece vocabulary.
 
-Texts are split into units that no piece crosses: runs of word marks with what follows them, and line ends. All
-work on lattices is done once for each distinct unit. Units of equal length are handled together, span by span, in
-numpy; long units and those with characters outside the vocabulary, which fall back to byte pieces, go one by one.
+Texts are split into units that no piece crosses: runs of word marks with what follows them, and line ends. Long units
+and those with characters outside the vocabulary are cut further, wherever no piece reaches across, so that their
+segmentations are those of their parts, one after another; a character outside the vocabulary is a part of its own and
+falls back to byte pieces. All work on lattices is done once for each distinct part. Parts of equal length are handled
+together, span by span, in numpy; what is still long then, such as a run of one character, goes one by one.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from array import array
+from itertools import count
 
 import numpy as np
 
 #: The mark that stands for a space, and a stand-in for that mark where a text itself has it.
 MARK, LITERAL = "▁", "\udc81"
-#: Units of more bytes than this go one by one.
+#: Units of more characters than this are cut, and parts of more go one by one.
 TOGETHER = 48
+#: Bytes of a long unit that are looked at together, and the grain of weights in sums that have to tie exactly.
+WINDOW, GRAIN = 1 << 18, 1 << 32
 _PRIME = 0x9E3779B97F4A7C15
 _INVERSE = pow(_PRIME, -1, 1 << 64)
 UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
@@ -57,7 +63,10 @@ class Vocabulary:
 
     def __init__(self, model: list[tuple[str, float, int]]):
         self.size = len(model)
-        self.ids = {p: k for k, (p, _, _) in enumerate(model) if p}
+        self.known = {p for p, _, _ in model if len(p) == 1}
+        #: A piece with a character that is none itself could stand beside no other; it is left out.
+        self.ids = {p: k for k, (p, _, _) in enumerate(model) if p and self.known.issuperset(p)}
+        self.blank = next(c for c in map(chr, range(32)) if c not in self.known)
         self.byte_ids = np.full(256, -1, np.int64)
         for k, (_, _, b) in enumerate(model):
             if b >= 0:
@@ -65,7 +74,6 @@ class Vocabulary:
         self.text = [p.replace(MARK, " ").encode() if b < 0 else bytes([b]) for p, _, b in model]
         #: Log weight by Zipf's law over the merge order.
         self.weight = -np.log1p(np.array([r for _, r, _ in model]))
-        self.known = {p for p in self.ids if len(p) == 1}
         coded = [p.encode() for p in self.ids]
         self.longest = max(map(len, coded))
         self.longest_chars = max(map(len, self.ids))
@@ -120,6 +128,57 @@ class Vocabulary:
                     out.append((i, j, rows[hit], ids[hit]))
         return out
 
+    def matches(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, id) of all pieces in UTF-8 ``data``, by end, then start. Made for long ones, window by window."""
+        out = []
+        for at in range(0, len(data), WINDOW):
+            part = np.frombuffer(data[at : at + WINDOW + self.longest], np.uint8).astype(np.uint64) + np.uint64(1)
+            n = len(part)
+            up, down = np.full(n, _PRIME, np.uint64), np.full(n, _INVERSE, np.uint64)
+            up[0] = down[0] = 1
+            up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up, dtype=np.uint64)])
+            starts = np.flatnonzero((part[:WINDOW] < 129) | (part[:WINDOW] >= 193))
+            for length in range(1, min(self.longest, n) + 1):
+                starts = starts[starts + length <= n]
+                ids = self.find((sums[starts + length] - sums[starts]) * down[starts])
+                hit = np.flatnonzero(ids >= 0)
+                out.append((starts[hit] + at, starts[hit] + at + length, ids[hit]))
+        start, end, ids = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((start, end))
+        return start[order], end[order], ids[order]
+
+    def parts(self, unit: str) -> list[str]:
+        """A unit cut at every character that no piece reaches across; a short one of known characters stays whole."""
+        if self.simple(unit) or len(unit) == 1:
+            return [unit]
+        plain = unit.replace(LITERAL, self.blank)
+        data = plain.encode()
+        start, end, _ = self.matches(data)
+        steps = np.bincount(start + 1, minlength=len(data) + 2) - np.bincount(end, minlength=len(data) + 2)
+        code = np.frombuffer(data, np.uint8)
+        open_ = np.cumsum(steps)[: len(data)][(code < 128) | (code >= 192)] == 0
+        cuts = [*np.flatnonzero(open_).tolist(), len(unit)]  # the first character is always open
+        return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def in_parts(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(distinct parts, numbers of the parts of all units in a row, where each unit's begin)."""
+        place: dict[str, int] = {}
+        flat, begin = [], []
+        for u in units:
+            begin.append(len(flat))
+            flat += [place.setdefault(x, len(place)) for x in self.parts(u)]
+        return list(place), np.array(flat, np.int64), np.array(begin, np.int64)
+
+    def lattice(self, part: str) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """(length in bytes, starts, ends, ids) of a part's pieces by end: byte pieces for a character that is none."""
+        if len(part) == 1 and part not in self.known:
+            data = (MARK if part == LITERAL else part).encode()
+            at = np.arange(len(data))
+            return len(data), at, at + 1, self.byte_ids[np.frombuffer(data, np.uint8)]
+        data = part.encode()
+        return len(data), *self.matches(data)
+
     def edges(self, unit: str) -> list[list[tuple[int, int]]]:
         """(end, id) of the pieces that start at each byte of a unit, byte pieces for characters that are none."""
         at, offsets = 0, []
@@ -141,30 +200,49 @@ class Vocabulary:
 
 
 def n_best(edges: list[list[tuple[int, int]]], weight: np.ndarray, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The n best segmentations (score, ids) of a lattice, best first, ties by ids.
+    """``best_paths`` of a lattice given as the (end, id) of the pieces that start at each byte."""
+    rows = sorted((j, i, k) for i, own in enumerate(edges) for j, k in own)
+    end, start, piece = np.array(rows, np.int64).reshape(-1, 3).T
+    return best_paths(len(edges), start, end, piece, weight, n)
+
+
+def best_paths(size: int, start: np.ndarray, end: np.ndarray, piece: np.ndarray, weight: np.ndarray, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The n best segmentations (score, ids) of a lattice, best first; its pieces come by end.
 
     A forward Viterbi pass gives the best score up to every byte. The A-star search then runs backward from the end:
     a partial segmentation's priority is its own score and the forward score of where it starts, which is exactly
-    what its best completion reaches, so segmentations come out in order and little else is looked at.
+    what its best completion reaches, so segmentations come out in order and little else is looked at. Of equal
+    priorities the one nearer to the start goes first. No place is left more than n times, as the n best pass through
+    it by the n best ways to the end, so the work is bounded by n times the pieces, however many segmentations tie.
+    Weights are whole numbers of 1 / ``GRAIN`` here: equal scores are equal whatever the order of their sums.
     """
-    size = len(edges)
-    forward, into = [-np.inf] * (size + 1), [[] for _ in range(size + 1)]
-    forward[0] = 0.0
-    for i, own in enumerate(edges):
-        for j, k in own:
-            into[j].append((i, k))
-            if forward[i] + weight[k] > forward[j]:
-                forward[j] = forward[i] + weight[k]
-    heap, out = [(-forward[size], (), size, 0.0)], []
+    cost, none = np.rint(-weight * GRAIN).astype(np.int64), 1 << 62
+    least = array("q", [none]) * (size + 1)
+    least[0] = 0
+    for at in range(0, len(end), WINDOW):
+        part = slice(at, at + WINDOW)
+        for i, j, c in zip(start[part].tolist(), end[part].tolist(), cost[piece[part]].tolist()):
+            c += least[i]
+            if c < least[j]:
+                least[j] = c
+    into = np.searchsorted(end, np.arange(size + 2))
+    heap, left, turn, out = [(least[size], size, 0, 0, None)], bytearray(size + 1), count(1), []
     while heap and len(out) < n:
-        _, ids, at, score = heapq.heappop(heap)
+        _, at, _, own, rest = heapq.heappop(heap)
         if at == 0:
-            out.append((score, ids))
+            ids = []
+            while rest is not None:
+                k, rest = rest
+                ids.append(k)
+            out.append((-own / GRAIN, tuple(ids)))
+            continue
+        if left[at] == n:
             continue
-        for i, k in into[at]:
-            if forward[i] > -np.inf:
-                s = score + float(weight[k])
-                heapq.heappush(heap, (-(s + forward[i]), (k, *ids), i, s))
+        left[at] += 1
+        part = slice(into[at], into[at + 1])
+        for i, k, c in zip(start[part].tolist(), piece[part].tolist(), cost[piece[part]].tolist()):
+            if least[i] < none and left[i] < n:
+                heapq.heappush(heap, (own + c + least[i], i, next(turn), own + c, (k, rest)))
     return out
 
 

@@ -1,8 +1,8 @@
 """Encoding texts to pieces and back, with the n best segmentations.
 
 A segmentation's score is the sum of its pieces' log weights, which follow Zipf's law over the vocabulary's merge
-order. Within a unit the n best come from a forward Viterbi pass and a backward A-star search (``pieces.n_best``). A
-text's n best are put together from its units': all but the n - 1 units that lose least by their second best
+order. Within a unit, or a part of a long one, the n best come from a forward Viterbi pass and a backward A-star search
+(``pieces.best_paths``). A text's n best are put together from its units': all but the n - 1 units that lose least by their second best
 segmentation keep their best one, as any other change loses at least as much as n better texts do.
 
 Encoding is lossless: spaces are marks, characters outside the vocabulary are byte pieces.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_arrow
-from .pieces import UNITS, Vocabulary, by_length, marked, n_best, read_model
+from .pieces import UNITS, Vocabulary, best_paths, by_length, marked, read_model
 
 #: Distinct units kept from one group of texts to the next, and bytes of text in a group.
 KEPT, STEP = 200_000, 1 << 21
@@ -71,24 +71,29 @@ class Encoder:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.cuts: dict[str, list[str]] = {}
+        self.names: list[str] = []
         self.ids: list[bytes] = []
         self.score, self.loss = np.zeros(0), np.zeros(0)
         self.more: dict[str, list[tuple[float, bytes]]] = {}
 
-    def _several(self, unit: str) -> list[tuple[float, bytes]]:
-        """The n best of a unit; of those that tie for the first place, the one in use comes first."""
-        if unit not in self.more:
-            used = self.ids[self.place[unit]]
-            found = [(s, np.array(k, "<i4").tobytes()) for s, k in n_best(self.vocabulary.edges(unit), self.vocabulary.weight, self.best)]
+    def _best(self, part: str, n: int) -> list[tuple[float, bytes]]:
+        return [(s, np.array(k, "<i4").tobytes()) for s, k in best_paths(*self.vocabulary.lattice(part), self.vocabulary.weight, n)]
+
+    def _several(self, place: int) -> list[tuple[float, bytes]]:
+        """The n best of a part; of those that tie for the first place, the one in use comes first."""
+        part, used = self.names[place], self.ids[place]
+        if part not in self.more:
+            found = self._best(part, self.best)
             others = [f for f in found if f[1] != used]
-            self.more[unit] = [(found[0][0], used), *others][: self.best]
-        return self.more[unit]
+            self.more[part] = [(found[0][0], used), *others][: self.best]
+        return self.more[part]
 
-    def _learn(self, units: list[str]) -> None:
-        score, loss, ids = np.zeros(len(units)), np.full(len(units), np.inf), [b""] * len(units)
-        simple = [self.vocabulary.simple(u) for u in units]
+    def _learn(self, parts: list[str]) -> None:
+        score, loss, ids = np.zeros(len(parts)), np.full(len(parts), np.inf), [b""] * len(parts)
+        simple = [self.vocabulary.simple(u) for u in parts]
         fast = [n for n, s in enumerate(simple) if s]
-        for positions, codes in by_length([units[n] for n in fast]):
+        for positions, codes in by_length([parts[n] for n in fast]):
             for k in range(0, len(codes), 8192):
                 own = [fast[p] for p in positions[k : k + 8192]]
                 score[own], loss[own], found = viterbi(self.vocabulary, codes[k : k + 8192])
@@ -96,31 +101,44 @@ class Encoder:
                     ids[n] = x
         for n, s in enumerate(simple):
             if not s:
-                found = n_best(self.vocabulary.edges(units[n]), self.vocabulary.weight, 2)
-                score[n], ids[n] = found[0][0], np.array(found[0][1], "<i4").tobytes()
+                found = self._best(parts[n], 2)
+                score[n], ids[n] = found[0]
                 loss[n] = found[0][0] - found[1][0] if len(found) > 1 else np.inf
         self.ids += ids
+        self.names += parts
         self.score, self.loss = np.concatenate([self.score, score]), np.concatenate([self.loss, loss])
 
+    def _places(self, text: str, new: list[str]) -> np.ndarray:
+        """The places of a text's parts; those seen for the first time are put on the list."""
+        place, where = self.place, []
+        for u in UNITS.findall(marked(text)):
+            p = place.get(u)
+            if p is not None:
+                where.append(p)
+                continue
+            parts = self.cuts.get(u)
+            if parts is None:
+                parts = self.vocabulary.parts(u)
+                if len(parts) > 1:
+                    self.cuts[u] = parts
+            for x in parts:
+                p = place.get(x)
+                if p is None:
+                    p = place[x] = len(place)
+                    new.append(x)
+                where.append(p)
+        return np.array(where, np.int64)
+
     def encode(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
         """The best segmentations (score, ids as 32-bit bytes) of each text, best first."""
-        if len(self.place) > KEPT:
+        if len(self.place) + len(self.cuts) > KEPT:
             self.forget()
-        split, new, place = [], [], self.place
-        for t in texts:
-            units = UNITS.findall(marked(t))
-            where = []
-            for u in units:
-                p = place.get(u)
-                if p is None:
-                    p = place[u] = len(place)
-                    new.append(u)
-                where.append(p)
-            split.append((units, np.array(where, np.int64)))
+        new: list[str] = []
+        split = [self._places(t, new) for t in texts]
         self._learn(new)
         ids = self.ids
-        for units, where in split:
-            if not units:
+        for where in split:
+            if not len(where):
                 yield [(0.0, b"")]
                 continue
             loss, total = self.loss[where], float(self.score[where].sum())
@@ -130,7 +148,7 @@ class Encoder:
             parts = [ids[p] for p in where]
             choices: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
             for n in near:
-                options = self._several(units[n])
+                options = self._several(where[n])
                 choices = [(d + options[0][0] - s, {**c, n: x} if k else c) for d, c in choices for k, (s, x) in enumerate(options)]
                 choices = sorted(choices, key=lambda c: c[0])[: self.best]
             out = []
