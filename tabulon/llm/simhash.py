@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_arrow, lookup, small
+from .common import cut, in_arrow, small, written
 from .graph import components
 
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
@@ -208,15 +208,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Words in a shingle of the similarity search, and the seed of its hash.
-GRAM, _GRAM_SEED = 5, 9
+#: Words in a shingle of the similarity search, the seed of its hash, and words of 64 bits in its fingerprint.
+GRAM, _GRAM_SEED, WORDS = 5, 9, 4
 #: Shingles that at least ``FREQUENT`` texts, and one in ``RARE_SHARE`` of all, have in their prefix are ordered by
 #: their number of texts, behind all others. A prefix has about a fifth of a text's shingles, so there are at most as
 #: many frequent ones as ``RARE_SHARE`` texts have in their prefixes.
 FREQUENT, RARE_SHARE = 16, 5000
-#: Buckets of more than ``DENSE`` texts are compared in blocks of ``SETS``; bits of the largest map of wanted texts.
-SETS, MAP_BITS = 512, 1 << 27
+#: Fingerprints and shingles that are compared in one block with as many others; bits of the largest map of wanted texts.
+NEAR, SETS, MAP_BITS = 4096, 1 << 18, 1 << 27
+#: Standard deviations that a distance may lie above what its similarity makes likely.
+SIGMAS = 6.5
 _MIX = 0x9E3779B97F4A7C15
+_TURNS = np.array([(_MIX * (2 * k + 1)) & ((1 << 64) - 1) for k in range(1, 64)], np.uint64)
+_BITS_OF = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
 def long_fingerprints(text: bytes) -> tuple[int, bytes]:
@@ -235,16 +239,41 @@ def long_fingerprints(text: bytes) -> tuple[int, bytes]:
     return int(np.uint64(digest(shingles, _GRAM_SEED)).view(np.int64)), shingles
 
 
-def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray):
-    """An Arrow function to (doc_id, node, n, prefix): sets that are similar share a shingle of their prefixes.
+def majority(shingles: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """The fingerprint of a set of 64-bit hashes, as ``words`` signed words: the majority of each bit of the hashes and
+    of what further multiplications make of them."""
+    n, columns = len(shingles), 8 * words
+    votes = np.zeros(columns * 256, np.int64)
+    for at in range(0, n, _STEP):
+        h = shingles[at : at + _STEP, None].view(np.uint64) * _TURNS[None, :words]
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+        own = h.view(np.uint8) + (np.arange(columns) * 256)[None, :]
+        votes += np.bincount(own.ravel(), minlength=columns * 256)
+    return np.packbits((votes.reshape(columns, 256) @ _BITS_OF) * 2 > n).view(np.int64)
+
+
+def farthest(similarity: float, bits: int = 64 * WORDS) -> int:
+    """The most differing bits that fingerprints of sets of this Jaccard similarity have, but for one pair in 10^10.
+
+    A bit differs with the angle of the two sets over pi; in sets of a few hashes, whose votes tie often, with up to
+    3 / 16 at a similarity of 0.8, a quarter more.
+    """
+    share = 1.25 * math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(bits * share + SIGMAS * math.sqrt(bits * share * (1 - share)))
+
+
+def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray, words: int = WORDS):
+    """An Arrow function to (doc_id, node, n, mark, prefix): sets that are similar share a shingle of their prefixes.
 
     A set's shingles are ordered by how many texts have them and by hash; the first n - ceil(similarity n) + 1 are
     its prefix. ``frequent`` is sorted; shingles that are not in it count as rare.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = lambda arrays: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(np.concatenate([*arrays, np.empty(0, np.int64)])))
         for batch in batches:
-            nodes, sizes, prefixes = [], [], []
+            nodes, sizes, marks, prefixes = [], [], [], []
             for x in batch.column("text").cast(pa.large_binary()):
                 node, shingles = long_fingerprints(x.as_py() or b"")
                 own = np.frombuffer(shingles, np.int64)
@@ -255,11 +284,10 @@ def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray):
                     order = order[np.argsort(np.where(frequent[at] == own, texts_with[at], 0)[order], kind="stable")]
                 nodes.append(node)
                 sizes.append(n)
+                marks.append(majority(own, words) if words else own[:0])
                 prefixes.append(own[order[: n - math.ceil(similarity * n - 1e-9) + 1 if n else 0]])
-            flat = np.concatenate([*prefixes, np.empty(0, np.int64)])
-            ends = np.cumsum([0, *map(len, prefixes)])
-            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), listed], ["doc_id", "node", "n", "prefix"])
+            names = ["doc_id", "node", "n", "mark", "prefix"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), listed(marks), listed(prefixes)], names)
 
     return run
 
@@ -285,10 +313,10 @@ def _sets(wanted: np.ndarray, bits: int):
     return run
 
 
-def _map_of(nodes: DataFrame) -> tuple[np.ndarray, int]:
+def _map_of(nodes: DataFrame, column: str = "node") -> tuple[np.ndarray, int]:
     """A map with the bit of each of ``nodes`` set, by its last bits; at most ``MAP_BITS`` bits whatever their number."""
     bits = min(MAP_BITS, 1 << max(15, (32 * nodes.count()).bit_length()))
-    at = nodes.select((F.col("node").bitwiseAND(F.lit(bits - 1))).alias("at"))
+    at = nodes.select((F.col(column).bitwiseAND(F.lit(bits - 1))).alias("at"))
     parts = at.groupBy(F.expr("at div 32768").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("set"))
     out = np.zeros(bits // 8, np.uint8)
     for part, own in parts.collect():
@@ -296,24 +324,40 @@ def _map_of(nodes: DataFrame) -> tuple[np.ndarray, int]:
     return out, bits
 
 
-def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose sets have this Jaccard similarity at least."""
-    met = lookup(pairs, known.toDF("a", "set_a"), "a")
-    met = lookup(cut(met), known.toDF("b", "set_b"), "b")
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return met.where(both / (F.size("set_a") + F.size("set_b") - both) >= similarity).select("a", "b")
+def _on_map(wanted: np.ndarray, bits: int):
+    """An Arrow function to (key, node, place) of the prefixes' shingles that are on the map ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("prefix")
+            key = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(lists.offsets.to_numpy())
+            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), sizes)
+            place = np.arange(len(key)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            at = key & bits - 1
+            on = (wanted[at >> 3] >> (at & 7) & 1).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(key[on]), pa.array(node[on]), pa.array(place[on].astype(np.int32))], ["key", "node", "place"])
+
+    return run
+
 
+def _known(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles) of the distinct nodes ``wanted``."""
+    found = in_arrow(texts.select("text"), _sets(*_map_of(wanted)), "node long, shingles array<bigint>")
+    return written(found.dropDuplicates(["node"]).join(wanted, "node", "left_semi"), "sets")
 
-def set_forest(sets: list[np.ndarray], group: np.ndarray, stored: np.ndarray, wanted: np.ndarray, similarity: float) -> list[tuple[int, int]]:
-    """Pairs of rows that join the same rows as all links between ``stored`` and ``wanted`` rows would, given that
-    rows of the same ``group`` are joined already. Shared elements are counted over lists of the rows of each."""
-    sizes, group, links = np.array([len(s) for s in sets]), group.copy(), []
+
+def set_forest(sets: list[np.ndarray], stored: np.ndarray, wanted: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of rows that join the same rows as all links between ``stored`` and ``wanted`` rows would. Shared elements
+    are counted over lists of the rows of each."""
+    sizes, group, links = np.array([len(s) for s in sets]), np.arange(len(sets)), []
     _, element = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(element, kind="stable")]
     firsts = np.concatenate([[0], np.cumsum(np.bincount(element))])
     for i in stored:
         apart = wanted[group[wanted] != group[i]]
+        apart = apart[(sizes[apart] >= similarity * sizes[i] - 1e-9) & (sizes[i] >= similarity * sizes[apart] - 1e-9)]
         if len(apart):
             own = element[starts[i] : starts[i + 1]]
             both = np.bincount(np.concatenate([holders[firsts[e] : firsts[e + 1]] for e in own]), minlength=len(sets))[apart]
@@ -328,64 +372,86 @@ def _set_forest_of(similarity: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         one = rows.drop_duplicates("node").sort_values("node")
         node = one["node"].to_numpy(np.int64)
-        place = np.searchsorted(node, rows["node"].to_numpy(np.int64))
-        asks, group = rows["asks"].to_numpy(bool), np.unique(one["root"], return_inverse=True)[1]
+        place, asks = np.searchsorted(node, rows["node"].to_numpy(np.int64)), rows["asks"].to_numpy(bool)
         sets = [np.asarray(x, np.int64) for x in one["shingles"]]
-        pairs = node[np.array(set_forest(sets, group, np.unique(place[~asks]), np.unique(place[asks]), similarity), np.int64).reshape(-1, 2)]
+        pairs = node[np.array(set_forest(sets, np.unique(place[~asks]), np.unique(place[asks]), similarity), np.int64).reshape(-1, 2)]
         return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
     return run
 
 
-def _apart(shared: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between texts of a bucket that aren't joined yet. ``shared`` is (key, node, n, place, root)."""
-    sizes = shared.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = cut(sizes.where("low != high").select("key", "m"))
-    thin = cut(shared.join(sizes.where(F.col("m") <= DENSE).select("key"), "key"))
-    other = thin.toDF("key", "other", "other_n", "other_place", "other_root")
+def _blocks(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` (key, node, n, ...) with asks, p and q, dealt so that any two of a key meet in a block (key, p, q), where
+    rows that don't ask are held against rows that do. The n of a block's rows of either kind sum up to about ``size``."""
+    sizes = rows.groupBy("key").agg(F.ceil(F.sum("n") / size).cast("int").alias("_parts"))
+    own = rows.join(sizes.where("_parts > 0"), "key").withColumn("_own", F.expr("cast(pmod(xxhash64(node), _parts) as int)"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    left = own.select(*rows.columns, F.lit(False).alias("asks"), F.col("_own").alias("p"), every.alias("q")).where("p <= q")
+    right = own.select(*rows.columns, F.lit(True).alias("asks"), every.alias("p"), F.col("_own").alias("q")).where("p <= q")
+    return left.unionByName(right)
+
+
+_DIFFER = " + ".join(f"bit_count(mark[{k}] ^ other_mark[{k}])" for k in range(WORDS))
+
+
+def _meeting(stored: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs that connect all that share a shingle of their prefixes and have near fingerprints.
+
+    ``stored`` is (key, node, place). Keys of up to ``DENSE`` texts give their near pairs; those of more are compared in
+    blocks, each of which gives a spanning forest.
+    """
+    shared = written(stored.join(nodes.select("node", "n", "mark"), "node"), "shared")
+    sizes = cut(shared.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
+    thin = shared.join(sizes.where(F.col("m") <= DENSE).select("key"), "key")
+    other = thin.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "place", "n", "mark")))
     # The first shingle that two similar sets share has enough behind it on both sides.
-    least = f"{similarity / (1 + similarity)} * (n + other_n) - 1e-6"
-    met = thin.join(other, (thin["key"] == other["key"]) & F.expr(f"node < other and root != other_root and least(n - place, other_n - other_place) >= {least}"))
-    linked = _verified(met.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), known, similarity)
-    parts = sizes.where(F.col("m") > DENSE).select("key", F.ceil(F.col("m") / SETS).cast("int").alias("parts"))
-    rows = cut(shared.join(parts, "key").select("key", "node", "root", "parts", F.expr("cast(pmod(xxhash64(node), parts) as int)").alias("own")))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = rows.where("true").select("key", "node", "root", F.lit(False).alias("asks"), F.col("own").alias("p"), every.alias("q")).where("p <= q")
-    right = rows.select("key", "node", "root", F.lit(True).alias("asks"), every.alias("p"), F.col("own").alias("q")).where("p <= q")
-    blocks = left.unionByName(right).join(known, "node")
-    return linked.union(blocks.groupBy("key", "p", "q").applyInPandas(_set_forest_of(similarity), "a long, b long"))
+    least, most = f"{similarity / (1 + similarity)} * (n + other_n) - 1e-6", farthest(similarity)
+    near_by = F.expr(f"node < other_node and least(n - place, other_n - other_place) >= {least} and {_DIFFER} <= {most}")
+    pairs = thin.join(other, (thin["key"] == other["key"]) & near_by).select(F.col("node").alias("a"), F.col("other_node").alias("b"))
+    dense = shared.join(sizes.where(F.col("m") > DENSE).select("key"), "key").select("key", "node", "mark", F.lit(1).alias("n"))
+    return pairs.union(_blocks(dense, NEAR).groupBy("key", "p", "q").applyInPandas(_forest_of(most), "a long, b long")).distinct()
+
+
+def _close(nodes: DataFrame) -> DataFrame:
+    """(a, b): nodes whose first 64 bits differ in at most ``DISTANCE`` places, as many as join all such, found by
+    multi-index hashing. ``nodes`` is (node, mark)."""
+    first = nodes.select("node", F.get("mark", F.lit(0)).alias("fp"))
+    low = cut(first.groupBy("fp").agg(F.min("node").alias("low")))
+    same = first.join(low, "fp").where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    ends = links(low.select("fp"))
+    ends = ends.join(low.toDF("a", "low_a"), "a").join(low.toDF("b", "low_b"), "b")
+    return same.union(ends.select(*_ordered("low_a", "low_b"))).distinct()
 
 
 def similar(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id) for every row of ``docs``: groups of texts linked by similar sets of five-word shingles.
 
     Two texts are linked if and only if their sets have a Jaccard similarity of at least ``similarity``, but for
-    collisions of 64-bit hashes. Similar sets share a shingle of their prefixes, so texts meet in buckets of these.
-    In each bucket every text is compared with the smallest one first; buckets whose texts that does not join are
-    compared pair by pair, or in blocks. Equal sets are one node. Null, empty and repeated rows count as in
+    collisions of 64-bit hashes and one pair in 10^10 (see ``farthest``). Multi-index hashing of the sets' fingerprints
+    finds the closest texts. A fixed distance of 64 bits can't find all pairs of the similarity, so texts also meet by a
+    shingle of their prefixes, which similar sets share, and by the complete distance of fingerprints of ``WORDS`` words.
+    What has met makes families, and within a family every link is settled by the exact similarity, in blocks, each of
+    which gives a spanning forest of its links. Equal sets are one node. Null, empty and repeated rows count as in
     ``near_duplicates``.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    prefixes = lambda f, c: in_arrow(texts, _prefixes(similarity, f, c), "doc_id long, node long, n int, prefix array<bigint>")
-    first = prefixes(np.empty(0, np.int64), np.empty(0, np.int64)).select("node", F.explode("prefix").alias("key"))
+    columns = "doc_id long, node long, n int, mark array<bigint>, prefix array<bigint>"
+    none = np.empty(0, np.int64)
+    first = in_arrow(texts, _prefixes(similarity, none, none, 0), columns).select(F.explode("prefix").alias("key"))
     counts = first.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT)
     least = max(FREQUENT, docs.count() // RARE_SHARE)
     got = sorted(map(tuple, counts.where(F.col("c") >= least).collect()))
     frequent = np.array(got, np.int64).reshape(-1, 2)
-    rows = cut(prefixes(frequent[:, 0].copy(), frequent[:, 1].copy()))
-    named = rows.select("doc_id", "node")
-    nodes = rows.select("node", "n", "prefix").dropDuplicates(["node"])
-    stored = cut(nodes.select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", "place"))
-    buckets = stored.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("centre")).where("m > 1").drop("m")
-    shared = cut(stored.join(buckets, "key"))
-    wanted = cut(shared.select("node").distinct())
-    known = in_arrow(texts.select("text"), _sets(*_map_of(wanted)), "node long, shingles array<bigint>")
-    known = cut(known.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
-    stars = shared.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    edges = cut(_verified(stars, known, similarity))
-    roots = components(edges)
-    shared = cut(shared.drop("centre").join(roots, "node", "left").select("key", "node", "n", "place", F.coalesce("root", "node").alias("root")))
-    return _components_of(named, edges.union(cut(_apart(shared, known, similarity)))).select("doc_id", "component_id")
+    rows = written(in_arrow(texts, _prefixes(similarity, frequent[:, 0].copy(), frequent[:, 1].copy()), columns), "prefixes")
+    nodes = written(rows.drop("doc_id").dropDuplicates(["node"]), "nodes")
+    keys = nodes.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    stored = in_arrow(nodes.select("node", "prefix"), _on_map(*_map_of(written(keys, "keys"), "key")), "key long, node long, place int")
+    met = cut(_close(nodes.select("node", "mark")).union(_meeting(stored, nodes, similarity)))
+    families = cut(components(met))
+    known = _known(texts, families.select("node"))
+    members = families.join(known, "node").select(F.col("root").alias("key"), "node", F.size("shingles").alias("n"), "shingles")
+    linked = _blocks(members, SETS).groupBy("key", "p", "q").applyInPandas(_set_forest_of(similarity), "a long, b long")
+    return _components_of(rows.select("doc_id", "node"), cut(linked)).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

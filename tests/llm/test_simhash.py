@@ -143,7 +143,8 @@ def test_links_are_exact_for_cut_and_appended_passages(spark, monkeypatch):
     for dense, frequent in ((32, 16), (3, 4)):
         monkeypatch.setattr(simhash, "DENSE", dense)
         monkeypatch.setattr(simhash, "FREQUENT", frequent)
-        monkeypatch.setattr(simhash, "SETS", 8)
+        monkeypatch.setattr(simhash, "SETS", 2000)
+        monkeypatch.setattr(simhash, "NEAR", 8)
         assert {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()} == dict(enumerate(comp))
 
 
