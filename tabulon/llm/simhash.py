@@ -14,6 +14,7 @@ reports only a spanning forest of its links.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -212,8 +213,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 GRAM, _GRAM_SEED, WORDS = 5, 9, 4
 #: Shingles that at least ``FREQUENT`` texts, and one in ``RARE_SHARE`` of all, have in their prefix are ordered by
 #: their number of texts, behind all others. A prefix has about a fifth of a text's shingles, so there are at most as
-#: many frequent ones as ``RARE_SHARE`` texts have in their prefixes.
-FREQUENT, RARE_SHARE = 16, 5000
+#: many frequent ones as ``RARE_SHARE`` texts have in their prefixes. Texts are counted for each ``HELD`` shingles of a
+#: partition, where those of one text don't count: the order need only be roughly by number, and the same for all.
+FREQUENT, RARE_SHARE, HELD = 16, 5000, 1 << 22
 #: Fingerprints and shingles that are compared in one block with as many others; bits of the largest map of wanted texts.
 NEAR, SETS, MAP_BITS = 4096, 1 << 18, 1 << 27
 #: Standard deviations that a distance may lie above what its similarity makes likely.
@@ -263,7 +265,7 @@ def farthest(similarity: float, bits: int = 64 * WORDS) -> int:
     return math.ceil(bits * share + SIGMAS * math.sqrt(bits * share * (1 - share)))
 
 
-def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray, words: int = WORDS):
+def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray):
     """An Arrow function to (doc_id, node, n, mark, prefix): sets that are similar share a shingle of their prefixes.
 
     A set's shingles are ordered by how many texts have them and by hash; the first n - ceil(similarity n) + 1 are
@@ -284,7 +286,7 @@ def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray, w
                     order = order[np.argsort(np.where(frequent[at] == own, texts_with[at], 0)[order], kind="stable")]
                 nodes.append(node)
                 sizes.append(n)
-                marks.append(majority(own, words) if words else own[:0])
+                marks.append(majority(own))
                 prefixes.append(own[order[: n - math.ceil(similarity * n - 1e-9) + 1 if n else 0]])
             names = ["doc_id", "node", "n", "mark", "prefix"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), listed(marks), listed(prefixes)], names)
@@ -292,6 +294,26 @@ def _prefixes(similarity: float, frequent: np.ndarray, texts_with: np.ndarray, w
     return run
 
 
+def _often(similarity: float):
+    """An Arrow function to (key, c): shingles that several prefixes of a partition have, and how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                for x in batch.column("text").cast(pa.large_binary()):
+                    own = np.frombuffer(long_fingerprints(x.as_py() or b"")[1], np.int64)
+                    n = len(own)
+                    parts.append(own[np.argsort(own.view(np.uint64) * np.uint64(_MIX))][: n - math.ceil(similarity * n - 1e-9) + 1 if n else 0])
+                    held += len(parts[-1])
+            if parts and (batch is None or held >= HELD):
+                key, c = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key[c > 1]), pa.array(c[c > 1].astype(np.int64))], ["key", "c"])
+                parts, held = [], 0
+
+    return run
+
+
 def _sets(wanted: np.ndarray, bits: int):
     """An Arrow function to (node, shingles) of the texts on the map ``wanted``, each at most once a partition."""
 
@@ -325,22 +347,27 @@ def _map_of(nodes: DataFrame, column: str = "node") -> tuple[np.ndarray, int]:
 
 
 def _on_map(wanted: np.ndarray, bits: int):
-    """An Arrow function to (key, node, place) of the prefixes' shingles that are on the map ``wanted``."""
+    """An Arrow function to (key, node, m0, ...) of the prefixes' shingles that are on the map ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("prefix")
             key = lists.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.diff(lists.offsets.to_numpy())
-            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), sizes)
-            place = np.arange(len(key)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            owner = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
             at = key & bits - 1
             on = (wanted[at >> 3] >> (at & 7) & 1).astype(bool)
-            yield pa.RecordBatch.from_arrays([pa.array(key[on]), pa.array(node[on]), pa.array(place[on].astype(np.int32))], ["key", "node", "place"])
+            marks = batch.column("mark").flatten().to_numpy(zero_copy_only=False).reshape(-1, WORDS)[owner[on]]
+            node = batch.column("node").to_numpy(zero_copy_only=False)[owner[on]]
+            columns = [pa.array(key[on]), pa.array(node), *(pa.array(np.ascontiguousarray(marks[:, k])) for k in range(WORDS))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", *_MARK])
 
     return run
 
 
+_MARK = [f"m{k}" for k in range(WORDS)]
+_DIFFER = " + ".join(f"bit_count({m} ^ other_{m})" for m in _MARK)
+
+
 def _known(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the distinct nodes ``wanted``."""
     found = in_arrow(texts.select("text"), _sets(*_map_of(wanted)), "node long, shingles array<bigint>")
@@ -391,25 +418,24 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
     return left.unionByName(right)
 
 
-_DIFFER = " + ".join(f"bit_count(mark[{k}] ^ other_mark[{k}])" for k in range(WORDS))
-
-
-def _meeting(stored: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+def _meeting(stored: DataFrame, similarity: float) -> DataFrame:
     """(a, b): pairs that connect all that share a shingle of their prefixes and have near fingerprints.
 
-    ``stored`` is (key, node, place). Keys of up to ``DENSE`` texts give their near pairs; those of more are compared in
+    ``stored`` is (key, node, m0, ...). Keys of up to ``DENSE`` texts give their near pairs; those of more are compared in
     blocks, each of which gives a spanning forest.
     """
-    shared = written(stored.join(nodes.select("node", "n", "mark"), "node"), "shared")
-    sizes = cut(shared.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
-    thin = shared.join(sizes.where(F.col("m") <= DENSE).select("key"), "key")
-    other = thin.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "place", "n", "mark")))
-    # The first shingle that two similar sets share has enough behind it on both sides.
-    least, most = f"{similarity / (1 + similarity)} * (n + other_n) - 1e-6", farthest(similarity)
-    near_by = F.expr(f"node < other_node and least(n - place, other_n - other_place) >= {least} and {_DIFFER} <= {most}")
+    sizes = written(stored.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
+    thin = stored.join(sizes.where(F.col("m") <= DENSE).select("key"), "key")
+    other = thin.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", *_MARK)))
+    near_by = F.expr(f"node < other_node and {_DIFFER} <= {farthest(similarity)}")
     pairs = thin.join(other, (thin["key"] == other["key"]) & near_by).select(F.col("node").alias("a"), F.col("other_node").alias("b"))
-    dense = shared.join(sizes.where(F.col("m") > DENSE).select("key"), "key").select("key", "node", "mark", F.lit(1).alias("n"))
-    return pairs.union(_blocks(dense, NEAR).groupBy("key", "p", "q").applyInPandas(_forest_of(most), "a long, b long")).distinct()
+    dense = stored.join(sizes.where(F.col("m") > DENSE).select("key"), "key").select("key", "node", F.lit(1).alias("n"), *_MARK)
+    return pairs.union(_blocks(dense, NEAR).groupBy("key", "p", "q").applyInPandas(_mark_forest_of(farthest(similarity)), "a long, b long")).distinct()
+
+
+def _mark_forest_of(distance: int):
+    run = _forest_of(distance)
+    return lambda rows: run(rows.assign(mark=list(rows[_MARK].to_numpy(np.int64))))
 
 
 def _close(nodes: DataFrame) -> DataFrame:
@@ -436,17 +462,15 @@ def similar(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", te
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     columns = "doc_id long, node long, n int, mark array<bigint>, prefix array<bigint>"
-    none = np.empty(0, np.int64)
-    first = in_arrow(texts, _prefixes(similarity, none, none, 0), columns).select(F.explode("prefix").alias("key"))
-    counts = first.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT)
+    counts = in_arrow(texts.select("text"), _often(similarity), "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
     least = max(FREQUENT, docs.count() // RARE_SHARE)
     got = sorted(map(tuple, counts.where(F.col("c") >= least).collect()))
     frequent = np.array(got, np.int64).reshape(-1, 2)
     rows = written(in_arrow(texts, _prefixes(similarity, frequent[:, 0].copy(), frequent[:, 1].copy()), columns), "prefixes")
     nodes = written(rows.drop("doc_id").dropDuplicates(["node"]), "nodes")
     keys = nodes.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    stored = in_arrow(nodes.select("node", "prefix"), _on_map(*_map_of(written(keys, "keys"), "key")), "key long, node long, place int")
-    met = cut(_close(nodes.select("node", "mark")).union(_meeting(stored, nodes, similarity)))
+    stored = in_arrow(nodes.select("node", "mark", "prefix"), _on_map(*_map_of(written(keys, "keys"), "key")), f"key long, node long, {', '.join(f'{m} long' for m in _MARK)}")
+    met = cut(_close(nodes.select("node", "mark")).union(_meeting(stored, similarity)))
     families = cut(components(met))
     known = _known(texts, families.select("node"))
     members = families.join(known, "node").select(F.col("root").alias("key"), "node", F.size("shingles").alias("n"), "shingles")

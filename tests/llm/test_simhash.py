@@ -143,8 +143,8 @@ def test_links_are_exact_for_cut_and_appended_passages(spark, monkeypatch):
     for dense, frequent in ((32, 16), (3, 4)):
         monkeypatch.setattr(simhash, "DENSE", dense)
         monkeypatch.setattr(simhash, "FREQUENT", frequent)
-        monkeypatch.setattr(simhash, "SETS", 2000)
-        monkeypatch.setattr(simhash, "NEAR", 8)
+        monkeypatch.setattr(simhash, "SETS", 8000)
+        monkeypatch.setattr(simhash, "NEAR", 64)
         assert {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()} == dict(enumerate(comp))
 
 
@@ -159,3 +159,16 @@ def test_texts_below_the_similarity_stay(spark):
     assert {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()} == {i: i for i in range(len(texts))}
     assert simhash.keep_one(docs).count() == len(texts)
     assert simhash.keep_one(docs, 0.79).count() == len(texts) // 2
+
+
+def test_components_by_rounds_and_in_one_task(spark, monkeypatch):
+    from tabulon.llm import graph
+
+    r = random.Random(4)
+    links = [(i, i + 1) for i in range(0, 60)] + [tuple(sorted((r.randrange(100, 400), r.randrange(100, 400)))) for _ in range(150)]
+    links = [(a, b) for a, b in links if a < b]
+    df = spark.createDataFrame(links, "a long, b long")
+    one = {tuple(x) for x in graph.components(df).collect()}
+    monkeypatch.setattr(graph, "FEW_LINKS", -1)
+    assert {tuple(x) for x in graph.components(df).collect()} == one and len(one) == len({x for link in links for x in link})
+    assert graph.components(df.limit(0)).collect() == []
