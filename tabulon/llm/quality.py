@@ -3,8 +3,10 @@
 A text is a bag of hashed n-grams of two views: its words (1 and 2 in a row), and their shapes (1 to 3 in a row),
 where a shape says which kinds of characters a word has, how long it is and whether it repeats one of the two words
 before. The target model counts the n-grams of labelled good rows, the raw model those of all rows. A row's log weight
-is the sum of its n-grams' log ratios, each less the cut that best parts good from bad labelled rows. As many rows as
-have a positive weight are sampled without replacement: those of the largest weight plus scaled Gumbel noise.
+is the mean of its n-grams' log ratios, less the cut that best parts good from bad labelled rows, over a temperature: the
+sum itself grows with the length of a text and would leave nothing to chance. A sample of a given size is drawn without
+replacement by Gumbel top-k: the rows of the largest log weight plus standard Gumbel noise. The default size is the number
+of rows above the cut.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ CELLS = WORD_CELLS + SHAPE_CELLS
 #: At most so many labelled rows of each label, by hash of the id, fit the target model and the cut.
 FIT_ROWS = 4000
 SEED = 11
-#: How much worse it is to lose a good row than to keep a bad one, and the scale of the Gumbel noise.
-LOSS, NOISE = 3.0, 0.1
+#: How much worse it is to lose a good row than to keep a bad one, and the temperature: a mean log ratio that lies so far
+#: above another makes a row e times as likely to be drawn.
+LOSS, TEMPERATURE = 3.0, 0.2
 #: Bytes hashed together.
 STEP = 1 << 19
 
@@ -215,14 +218,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for part in (slice(0, WORD_CELLS), slice(WORD_CELLS, CELLS)):
             p, q = target[part] + ADDED, raw[part] + ADDED * raw[part].sum() / max(1.0, target[part].sum())
             ratio[part] = np.log(p / p.sum()) - np.log(q / q.sum())
-    means = _scored(known.select("_label", "text"), F.col("text"), ratio).where("_n > 0").select("_label", (F.col("_sum") / F.col("_n")).alias("mean"))
-    got = np.array([tuple(r) for r in means.collect()], float).reshape(-1, 2)  # at most 2 * FIT_ROWS ids' rows
+    scored = _scored(known.select("_id", "_label", "text"), F.col("text"), ratio).where("_n > 0").groupBy("_id", "_label")
+    means = scored.agg((F.sum("_sum") / F.sum("_n")).alias("mean")).select("_label", "mean")
+    got = np.array([tuple(r) for r in means.collect()], float).reshape(-1, 2)  # at most 2 * FIT_ROWS ids
     return Model(ratio, best_cut(got[got[:, 0] == 1, 1], got[got[:, 0] == 0, 1]))
 
 
-def gumbel(key: Column) -> Column:
+def gumbel(key: Column, seed: int = SEED) -> Column:
     """Standard Gumbel noise of a hash of ``key``."""
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(SEED)), 11).cast("double") + 0.5) / float(1 << 53)
+    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
     return -F.log(-F.log(u))
 
 
@@ -252,46 +256,47 @@ def kth_largest(df: DataFrame, value: str, k: int) -> float | None:
             return None
 
 
-def weighed(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with _n, _weight (its log importance weight) and _key (that plus scaled Gumbel noise).
+def weighed(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
+    """``docs`` with _n, _weight (its log importance weight) and _key (that plus standard Gumbel noise).
 
     A row without words weighs nothing: its weight and key are null.
     """
     limit = model.limit if np.isfinite(model.limit) else -1e6
     scored = _scored(docs, F.col(text_col), model.ratio)
-    weight = F.when(F.col("_n") > 0, F.col("_sum") - F.col("_n") * F.lit(float(limit)))
-    return scored.withColumn("_weight", weight).withColumn("_key", F.col("_weight") + F.lit(NOISE) * gumbel(F.col(id_col))).drop("_sum")
+    weight = F.when(F.col("_n") > 0, (F.col("_sum") / F.col("_n") - F.lit(float(limit))) / F.lit(temperature))
+    return scored.withColumn("_weight", weight).withColumn("_key", F.col("_weight") + gumbel(F.col(id_col), seed)).drop("_sum")
 
 
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
     return [docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")]
 
 
-def _last(keys: DataFrame) -> float:
-    """The smallest key that is sampled, of as many as have a positive weight."""
-    k = keys.where("_weight >= 0").count()
+def _last(keys: DataFrame, size: int | None) -> float:
+    """The smallest key that is sampled, of ``size`` or of as many as lie above the cut."""
+    k = keys.where("_weight >= 0").count() if size is None else size
     last = kth_largest(keys.where("_key is not null"), "_key", k)
-    return float("inf") if last is None else last
+    return last if last is not None else float("inf") if k <= 0 else float("-inf")
 
 
-def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """(doc_id, n_grams, log_weight, key, kept) for every row of ``docs``.
 
-    Null and empty texts have no n-gram, a null weight and are not kept. Rows that tie with the last one sampled
-    are kept as well. Repeated rows have equal keys. Without labels of both kinds every row with a word is kept.
+    ``size`` rows are sampled, all with a word if there are fewer. Null and empty texts have no n-gram, a null weight and
+    are not kept. Rows that tie with the last one sampled are kept as well. Repeated rows have equal keys. Without labels
+    of both kinds every row lies above the cut.
     """
     model = fit(docs, labels, id_col, text_col)
-    keys = cut(weighed(docs.select(*rows_of(docs, id_col, text_col)), model).drop("text"))
-    kept = F.coalesce(F.col("_key") >= _last(keys), F.lit(False))
+    keys = cut(weighed(docs.select(*rows_of(docs, id_col, text_col)), model, temperature=temperature, seed=seed).drop("text"))
+    kept = F.coalesce(F.col("_key") >= _last(keys, size), F.lit(False))
     return keys.select("doc_id", F.col("_n").alias("n_grams"), F.col("_weight").alias("log_weight"), F.col("_key").alias("key"), kept.alias("kept"))
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` that importance resampling keeps, with their own columns.
 
     Texts are scored twice instead of being shuffled: once for the last key sampled, once to hold them against it.
     """
     model = fit(docs, labels, id_col, text_col)
-    last = _last(cut(weighed(docs.select(*rows_of(docs, id_col, text_col)), model).drop("text")))
+    last = _last(cut(weighed(docs.select(*rows_of(docs, id_col, text_col)), model, temperature=temperature, seed=seed).drop("text")), size)
     whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *(rows_of(docs, id_col, text_col)))
-    return weighed(whole, model).where(F.col("_key") >= last).select("row.*")
+    return weighed(whole, model, temperature=temperature, seed=seed).where(F.col("_key") >= last).select("row.*")

@@ -64,7 +64,7 @@ def test_against_brute_force(spark):
         cells = [c for _, c in quality.grams([t])]
         if cells and i is not None:
             c = np.concatenate(cells)
-            assert math.isclose(got[i]["log_weight"], ratio[c].sum() - len(c) * model.limit, rel_tol=1e-9, abs_tol=1e-9)
+            assert math.isclose(got[i]["log_weight"], (ratio[c].mean() - model.limit) / quality.TEMPERATURE, rel_tol=1e-9, abs_tol=1e-7)
     k = sum(r["log_weight"] is not None and r["log_weight"] >= 0 for r in got.values())
     last = sorted((r["key"] for r in got.values() if r["key"] is not None), reverse=True)[k - 1]
     assert all(r["kept"] == (r["key"] is not None and r["key"] >= last) for r in got.values())
@@ -75,3 +75,26 @@ def test_no_rows_and_no_labels(spark):
     assert quality.resampled(docs.limit(0), labels).collect() == []
     got = quality.resampled(docs, labels.limit(0)).collect()
     assert sum(r["kept"] for r in got) == 91
+
+
+def test_a_sample_follows_the_weights(spark):
+    docs, labels = corpus(spark)
+    model, kept = quality.fit(docs, labels), []
+    rows = docs.where("doc_id is not null").select("doc_id", "text")
+    weight = {r["doc_id"]: r["_weight"] for r in quality.weighed(rows, model, temperature=1.0).collect() if r["_weight"] is not None}
+    times = dict.fromkeys(weight, 0)
+    for seed in range(12):
+        keys = quality.weighed(rows, model, temperature=1.0, seed=seed)
+        kept.append({r["doc_id"] for r in keys.where(keys["_key"] >= quality._last(keys, 30)).collect()})
+        assert len(kept[-1]) == 30
+        for i in kept[-1]:
+            times[i] += 1
+    assert len({frozenset(k) for k in kept}) == 12
+    good, bad = (np.mean([times[i] for i in weight if (i < 100) == side]) for side in (True, False))
+    low, high = (np.mean([weight[i] for i in weight if (i < 100) == side]) for side in (False, True))
+    # Drawing 30 of 60 and 30 rows whose weights differ by e to the power of (high - low).
+    g = np.random.default_rng(1).gumbel(size=(4000, 90)) + np.repeat([high, low], [60, 30])
+    want = (np.argsort(-g, axis=1)[:, :30] < 60).sum(axis=1).mean() / 60 * 12
+    assert abs(good - want) < 1.0 and good > bad
+    assert quality.resampled(docs, labels, size=10**6).where("kept").count() == 91
+    assert quality.sample(docs, labels, size=0).count() == 0
