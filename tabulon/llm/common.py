@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -23,11 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in ``spark.checkpoint.dir``, or a temporary one where that is unset, as in
-    tests on one machine."""
+    """The folder that the session names in ``spark.checkpoint.dir``. A temporary one is used where that is unset and
+    Spark runs on this machine alone, as in tests; on a cluster other machines would not see it."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[[^,]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabulon-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -68,14 +71,17 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
-#: Rows in an Arrow batch: texts are long, and a batch is held by the JVM and by Python, several times over.
-BATCH_ROWS = 1000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows and bytes in an Arrow batch: texts are long, and a batch is held by the JVM and by Python, several times over.
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 26
+_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
 
 
 def in_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with batches of at most ``BATCH_ROWS`` rows; the session keeps that limit."""
+    """``df.mapInArrow`` with batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES`` bytes. Spark reads these
+    limits from the session when the result is computed, so the session keeps them."""
     conf = df.sparkSession.conf
-    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
-        conf.set(_BATCH, BATCH_ROWS)
+    for name, most in _LIMITS.items():
+        given = re.match("[0-9]+b?$", conf.get(name) or "")
+        if not given or not 0 < int(given[0].rstrip("b")) <= most:
+            conf.set(name, most)
     return df.mapInArrow(function, schema)

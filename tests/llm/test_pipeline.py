@@ -74,3 +74,25 @@ def test_stages(spark, tmp_path):
 
 def test_run_is_the_stages_in_a_row(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "lang", "source", "n_pieces", "ids", "score", "second_loses"]
+
+
+def test_odd_documents_pass_every_stage(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, ties, clashing column names; and tables without rows."""
+    extra = ["row", "node", "_n", "_text", "base", "spans", "key", "taken", "found", "doc", "size", "component_id"]
+    given = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    text = given.first()["text"]
+    odd = [(9001, None, "en", "a", 0), (9002, "", None, None, 0), (9003, text, "en", "a", 1), (9003, text, "en", "a", 1), (None, text + " more words here", "en", None, 2), (9004, "a" * 300_000, "en", "b", 3), (9005, "word and more " * 20_000, None, "b", 4), (9006, " \n\t ", "en", "a", 5)]
+    docs = given.unionByName(spark.createDataFrame(odd, given.schema))
+    docs = docs.select("*", *(F.lit(c).alias(c) for c in extra))
+    docs.write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
+        after = spark.read.parquet(str(tmp_path / str(k)))
+        assert name == "pieces" or after.columns == docs.columns
+        if name == "near_duplicates":
+            assert after.where("doc_id = 9003").count() <= 1
+        elif name in ("personal_data", "pieces"):
+            assert after.count() == docs.count()
+        docs = after
