@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Each table turns unit vectors by a pseudo-rotation (three rounds of random signs and a fast Hadamard transform) and
-assigns them to the nearest signed axis. Every vector is stored in one bucket of each table; a query looks into the
-buckets of its nearest ``PROBES`` axes. All that it meets is ranked by exact cosine.
+assigns them to the nearest signed axis. Where there are so many vectors that a bucket for each axis would hold more than
+``STORED``, several rotations make up a table and a bucket stands for an axis of each. Every vector is stored in one bucket
+of each table; a query looks into the buckets of the axes nearest to it, those of one hash or the best combinations of
+several. All that it meets is ranked by exact cosine.
 
 Buckets are searched in blocks of bounded size, vectors against queries, and only each block's best leave it. Equal
 query vectors are searched once. Of equal stored vectors the ``k + 1`` smallest ids are kept, as no other can be
@@ -16,9 +18,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, lookup
+from .common import cut, lookup, small
 
-TABLES, PROBES, SEED = 8, 16, 20
+#: Tables and probes of a table, by the number of hashes in one; the last entry stands for more.
+SIZES, SEED = ((8, 16), (16, 128), (32, 1024)), 20
 #: Vectors and queries that meet in one task.
 STORED, ASKED = 4096, 1024
 #: Scores this near the last place are settled by the exact measure.
@@ -54,6 +57,36 @@ def axes(x: np.ndarray, table: int, probes: int = 1) -> np.ndarray:
     return 2 * top + (np.take_along_axis(y, top, axis=1) < 0)
 
 
+def hashes_for(n: int, width: int) -> int:
+    """How many hashes make up a table, so that buckets of ``n`` vectors hold about ``STORED`` at most."""
+    k = 1
+    while n > STORED * (2 << max(0, width - 1).bit_length()) ** k:
+        k += 1
+    return k
+
+
+def buckets(x: np.ndarray, table: int, hashes: int = 1, probes: int = 1) -> np.ndarray:
+    """The ``probes`` best buckets of each row in a table of so many hashes, best first: those whose axes lose least, as
+    squared differences to the nearest ones' lengths. With one hash they are the nearest axes."""
+    width = 1 << max(0, x.shape[1] - 1).bit_length()
+    if hashes == 1:
+        return axes(x, table, probes)
+    m = min(width, 1 if probes == 1 else int(3 * probes ** (1 / hashes)) + 1)
+    out = []
+    for at in range(0, len(x), 64):
+        loss, code = np.zeros((len(x[at : at + 64]), 1)), np.zeros((len(x[at : at + 64]), 1), np.int64)
+        for h in range(hashes):
+            y = rotated(x[at : at + 64], table * hashes + h)
+            top = np.argsort(-np.abs(y), axis=1, kind="stable")[:, :m]
+            long = np.take_along_axis(y, top, axis=1)
+            own = (np.abs(long[:, :1]) - np.abs(long)) ** 2
+            loss = (loss[:, :, None] + own[:, None, :]).reshape(len(y), -1)
+            code = (code[:, :, None] * (2 * width) + (2 * top + (long < 0))[:, None, :]).reshape(len(y), -1)
+        best = np.argsort(loss, axis=1, kind="stable")[:, :probes]
+        out.append(np.take_along_axis(code, best, axis=1))
+    return np.concatenate(out)
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise cosines in double precision, the same for the same two vectors wherever they are computed."""
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
@@ -63,15 +96,20 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in column])
 
 
-def _assign(tables: int, probes: int):
+def _assign(n: int, hashes: int | None, tables: int | None, probes: int | None):
+    """To (id, v, cell): each vector with its buckets, the best ``probes`` of each table or as many as the size asks for."""
+
     def run(batches):
         for rows in batches:
             for width, own in rows.groupby(rows["v"].map(len)):
                 x = _matrix(own["v"])
-                for t in range(tables):
-                    found = axes(x, t, probes)
+                k = hashes or hashes_for(n, width)
+                usual = SIZES[min(k, len(SIZES)) - 1]
+                for t in range(tables or usual[0]):
+                    found = buckets(x, t, k, probes or usual[1])
+                    base = np.int64(t * (2 << max(0, width - 1).bit_length()) ** k)
                     for j in range(found.shape[1]):
-                        yield pd.DataFrame({"id": own["id"], "v": own["v"], "cell": np.int64(width) << 32 | np.int64(t) << 20 | found[:, j]})
+                        yield pd.DataFrame({"id": own["id"], "v": own["v"], "cell": (found[:, j] + base) << 16 | width & 0xFFFF})
 
     return run
 
@@ -104,11 +142,11 @@ def _meet(stored: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """(query, id, score): the best k of each block; both sides have (id, v, cell).
 
     A cell's vectors and queries are dealt into parts of bounded size, and every part of one meets every part of the
-    other. There are as many cells as tables and axes, so their counts are broadcast.
+    other. Only cells that a query looks into count; their counts are broadcast if they are few.
     """
     n = stored.groupBy("cell").agg(F.ceil(F.count("*") / STORED).cast("int").alias("parts"))
     m = asked.groupBy("cell").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("asks_parts"))
-    sizes = F.broadcast(cut(n.join(m, "cell")))
+    sizes = small(cut(n.join(m, "cell")))
     part = lambda of: F.pmod(F.xxhash64("id"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     left = stored.join(sizes, "cell").select("cell", "id", "v", F.lit(False).alias("asks"), part("parts").alias("p"), every("asks_parts").alias("q"))
@@ -116,9 +154,10 @@ def _meet(stored: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     return left.unionByName(right).groupBy("cell", "p", "q").applyInPandas(_best(k), "query long, id long, score double")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", hashes: int | None = None, tables: int | None = None, probes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of ``queries`` among the rows of ``vectors``
-    with another id, by largest cosine, ties to the smaller id; all of them where there are fewer.
+    with another id, by largest cosine, ties to the smaller id; all of them where there are fewer. ``hashes``, ``tables``
+    and ``probes`` follow from the number of vectors unless they are given.
 
     Only vectors of a query's own width are compared. Rows whose id or vector is null, zero or holds a null or
     non-finite component take no part. Rows that repeat an id and a vector count once. No rows give none.
@@ -138,7 +177,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     members = asked.select("id", "lead")
 
     cells = "id long, v array<double>, cell long"
-    met = cut(_meet(stored.mapInPandas(_assign(tables, 1), cells), leads.mapInPandas(_assign(tables, probes), cells), k + 1))
+    n = stored.count()
+    met = cut(_meet(stored.mapInPandas(_assign(n, hashes, tables, 1), cells), leads.mapInPandas(_assign(n, hashes, tables, probes), cells), k + 1))
     enough = met.groupBy("query").agg(F.countDistinct("id").alias("n")).where(F.col("n") > k)
     short = cut(leads.join(enough, leads["id"] == enough["query"], "left_anti"))
     if not short.isEmpty():

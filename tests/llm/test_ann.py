@@ -59,3 +59,17 @@ def test_odd_rows_and_few_vectors(spark):
     got = as_lists(ann.nearest(vectors, vectors).collect())
     assert {q: [i for i, _ in v] for q, v in got.items()} == {0: [1, 2], 1: [0, 2], 2: [1, 0]}
     assert ann.nearest(vectors.limit(0), vectors).collect() == [] and ann.nearest(vectors, vectors.limit(0)).collect() == []
+
+
+def test_more_hashes_for_more_vectors(spark):
+    assert [ann.hashes_for(n, 64) for n in (10, 128 * 4096, 128 * 4096 + 1, 128**2 * 4096 + 1)] == [1, 1, 2, 3]
+    g = np.random.default_rng(3)
+    x = g.normal(size=(5, 6))
+    one, two = ann.axes(x, 4), ann.axes(x, 5)
+    assert (ann.buckets(x, 2, 2)[:, 0] == one[:, 0] * 16 + two[:, 0]).all() and (ann.buckets(x, 2, 2, 9)[:, 0] == ann.buckets(x, 2, 2)[:, 0]).all()
+    assert all(len(set(row)) == 9 for row in ann.buckets(x, 2, 2, 9).tolist())
+    x = g.normal(size=(400, 16)).tolist()
+    vectors = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got, want = as_lists(ann.nearest(vectors, vectors.where("vec_id % 40 = 0"), hashes=2, tables=8, probes=64).collect()), brute(list(enumerate(x)), [(i, v) for i, v in enumerate(x) if i % 40 == 0])
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 5 * len(want)
