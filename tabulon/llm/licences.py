@@ -57,6 +57,18 @@ SENTENCES = {
     "cc-by-nd-short": "licensed under cc by nd 4 0",
     "cc-by-nc-sa-short": "licensed under cc by nc sa 4 0",
     "reserved": "all rights reserved",
+    "bsd-warranty": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-liability": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "isc-warranty": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "0bsd-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "agpl-grant-3": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-grant-2-1": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "epl-notice": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "cddl-notice": "the contents of this file are subject to the terms of the common development and distribution license the license",
+    "bsl-notice": "distributed under the boost software license version 1 0",
+    "artistic-notice": "this library is free software you can redistribute it and or modify it under the same terms as perl itself",
 }
 #: Fixed values: (licence, sentences in order), tried in this order.
 RULES = (
@@ -94,6 +106,16 @@ RULES = (
     ("MIT", ("mit-title-2",)),
     ("Apache-2.0", ("apache-title",)),
     ("proprietary", ("reserved",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    ("Zlib", ("zlib-grant",)),
+    ("0BSD", ("0bsd-grant", "isc-warranty")),
+    ("0BSD", ("0bsd-grant",)),
+    ("AGPL-3.0-or-later", ("agpl-grant-3",)),
+    ("LGPL-2.1-or-later", ("lgpl-grant-2-1",)),
+    ("EPL-2.0", ("epl-notice",)),
+    ("CDDL", ("cddl-notice",)),
+    ("BSL-1.0", ("bsl-notice",)),
+    ("Artistic-1.0-Perl", ("artistic-notice",)),
 )
 #: Parts of words of which every known sentence has one.
 ANCHORS = ("licen", "permission", "copyright", "warrant", "redistribut", "rights reserved", "public domain", "free software")

@@ -127,3 +127,15 @@ def test_published_wrapped_notices(spark):
     for r in licences.scan(docs).collect():
         text, rule, name = texts[r["doc_id"]]
         assert str(rule) in r["rules"].split(",") and r["licences"] == name, text
+
+
+def test_further_notices(spark):
+    texts = {
+        "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU Affero General Public License as published by\n// the Free Software Foundation, either version 3 of the License, or\n// (at your option) any later version.": "AGPL-3.0-or-later",
+        "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file)": "BSL-1.0",
+        "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:": "Zlib",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.\n\nTHE SOFTWARE IS PROVIDED": "0BSD",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(docs).collect()}
+    assert [got[k] for k in range(len(texts))] == list(texts.values())
