@@ -335,11 +335,17 @@ def _sets(wanted: np.ndarray, bits: int):
     return run
 
 
-def _map_of(nodes: DataFrame, column: str = "node") -> tuple[np.ndarray, int]:
-    """A map with the bit of each of ``nodes`` set, by its last bits; at most ``MAP_BITS`` bits whatever their number."""
+def _bits_of(nodes: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """(part, set): a map with the bit of each of ``nodes`` set, by its last bits, in parts of 32,768 bits; and its length,
+    at most ``MAP_BITS`` bits whatever their number."""
     bits = min(MAP_BITS, 1 << max(15, (32 * nodes.count()).bit_length()))
     at = nodes.select((F.col(column).bitwiseAND(F.lit(bits - 1))).alias("at"))
-    parts = at.groupBy(F.expr("at div 32768").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("set"))
+    return at.groupBy(F.expr("at div 32768").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("set")), bits
+
+
+def _map_of(nodes: DataFrame, column: str = "node") -> tuple[np.ndarray, int]:
+    """The map of ``nodes`` as bytes."""
+    parts, bits = _bits_of(nodes, column)
     out = np.zeros(bits // 8, np.uint8)
     for part, own in parts.collect():
         out[part * 4096 : (part + 1) * 4096] = np.frombuffer(own, np.uint8)
@@ -482,11 +488,17 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", t
     """``docs`` without all but the smallest document id of each group of ``similar`` texts.
 
     Rows that repeat the id that stays are reduced to one; rows with a null id stay, as none of them can be told
-    to be the copy of another.
+    to be the copy of another. Rows whose id is on no map of the ids that go or repeat stay where they are; only the others
+    are joined, so that most texts are not shuffled.
     """
-    kept = similar(docs, similarity, id_col, text_col).where("doc_id = component_id").groupBy("doc_id").count()
-    kept = cut(kept.toDF("_kept", "_rows"))
-    whole = docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi")
-    if not kept.where("_rows > 1").isEmpty():
-        whole = whole.dropDuplicates([id_col])
-    return whole.unionByName(docs.where(F.col(id_col).isNull()))
+    groups = similar(docs, similarity, id_col, text_col).groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    marked = cut(groups.where("doc_id is not null and (not stays or rows > 1)").withColumn("hash", F.xxhash64("doc_id")))
+    parts, bits = _bits_of(marked, "hash")
+    parts = F.broadcast(cut(parts.select(F.col("part").alias("_part"), F.col("set").alias("_set"))))
+    at = F.xxhash64(docs[id_col].cast("long")).bitwiseAND(F.lit(bits - 1))
+    placed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), docs[id_col].cast("long").alias("_id"), at.alias("_at"), F.floor(at / 32768).alias("_part"))
+    byte = F.conv(F.hex(F.expr("substring(_set, cast((_at % 32768) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    placed = placed.join(parts, "_part", "left").withColumn("_on", F.coalesce(F.col("_id").isNotNull() & (F.expr("1 << cast(_at % 8 as int)").bitwiseAND(byte) != 0), F.lit(False)))
+    odd = placed.where("_on").join(marked.select(F.col("doc_id").alias("_id"), "rows", "stays"), "_id", "left").where("stays is null or stays")
+    once = odd.where("rows > 1").dropDuplicates(["_id"]).unionByName(odd.where("rows is null or rows = 1"))
+    return placed.where("not _on").select("_row.*").unionByName(once.select("_row.*"))
