@@ -215,7 +215,7 @@ GRAM, _GRAM_SEED, WORDS = 5, 9, 4
 #: their number of texts, behind all others. A prefix has about a fifth of a text's shingles, so there are at most as
 #: many frequent ones as ``RARE_SHARE`` texts have in their prefixes. Texts are counted for each ``HELD`` shingles of a
 #: partition, where those of one text don't count: the order need only be roughly by number, and the same for all.
-FREQUENT, RARE_SHARE, HELD = 16, 5000, 1 << 22
+FREQUENT, RARE_SHARE, HELD = 16, 5000, 1 << 20
 #: Fingerprints and shingles that are compared in one block with as many others; bits of the largest map of wanted texts.
 NEAR, SETS, MAP_BITS = 4096, 1 << 18, 1 << 27
 #: Standard deviations that a distance may lie above what its similarity makes likely.

@@ -64,3 +64,14 @@ def test_held_out_accuracy_and_odd_rows(spark):
     empty = language.fit(docs.limit(0))
     assert {x["lang_pred"] for x in language.predict(docs, empty, ["doc_id"]).collect()} == {"und"}
     assert language.predict(docs.limit(0), model, ["doc_id"]).collect() == []
+
+
+def test_long_words_are_summed_like_short_ones(vocabulary, monkeypatch):
+    log_p = np.stack([vocabulary.weight, np.full(vocabulary.size, -math.log(vocabulary.size))], axis=1)
+    units = ["▁internationalization" * 3, "▁then", "▁日本語のテキストñ", "▁" + "a" * 60]
+    sums, counts = language.forward(vocabulary, units, log_p), language.expected(vocabulary, units, np.arange(1.0, 5.0), vocabulary.weight)
+    monkeypatch.setattr("tabulon.llm.pieces.TOGETHER", 2)
+    assert np.allclose(language.forward(vocabulary, units, log_p), sums)
+    assert np.allclose(language.expected(vocabulary, units, np.arange(1.0, 5.0), vocabulary.weight), counts)
+    alone = language.expected(vocabulary, ["▁internationalization"], np.ones(1), vocabulary.weight).sum()
+    assert counts.sum() < 3.3 * alone + 4 * 61 + 3 * 14 + 2 * 3

@@ -75,3 +75,24 @@ def test_round_trip_in_frames(spark):
     assert len({tuple(r)[1:] for r in got if r["doc_id"] == 3}) == 1
     assert tokens.digests(docs.limit(0)).collect() == [] and tokens.encode(docs.limit(0)).collect() == []
     assert tokens.decode(spark.createDataFrame([([5, -1],), (None,)], "ids array<int>")).where("text is null").count() == 2
+
+
+def test_long_units_end_and_equal_their_parts(vocabulary):
+    import base64
+    import random
+    import time
+
+    r = random.Random(1)
+    units = ["▁" + "a" * 20_000, "_" * 20_000, base64.b64encode(r.randbytes(30_000)).decode(), "▁internationalization" * 1 + "日本語😀" * 500]
+    began = time.time()
+    for unit in units:
+        parts = vocabulary.parts(unit)
+        assert "".join(parts) == unit
+        found = next(iter(tokens.Encoder(vocabulary).encode([unit.replace("▁", " ")])))
+        assert tokens.decode_ids(vocabulary, np.frombuffer(found[0][1], "<i4")).decode() == unit.replace("▁", " ")
+    assert time.time() - began < 60
+    # No piece crosses a cut: the best score of the whole is the sum of the parts'.
+    unit = "▁then" + "qzx" * 30 + "é😀" + "ing" * 20
+    best = lambda u: n_best(vocabulary.edges(u), vocabulary.weight, 3)
+    assert len(vocabulary.parts(unit)) > 2 and np.isclose(best(unit)[0][0], sum(best(p)[0][0] for p in vocabulary.parts(unit)))
+    assert np.allclose([s for s, _ in best("a" * 12)], [s for s, _ in all_paths(vocabulary.edges("a" * 12), vocabulary.weight)[:3]])
