@@ -110,8 +110,11 @@ class Encoder:
 
     def _places(self, text: str, new: list[str]) -> np.ndarray:
         """The places of a text's parts; those seen for the first time are put on the list."""
-        place, where = self.place, []
-        for u in UNITS.findall(marked(text)):
+        place, units = self.place, UNITS.findall(marked(text))
+        known, where = list(map(place.get, units)), []
+        if None not in known:
+            return np.array(known, np.int64)
+        for u in units:
             p = place.get(u)
             if p is not None:
                 where.append(p)
