@@ -22,8 +22,6 @@ MARK, LITERAL = "▁", "\udc81"
 TOGETHER = 48
 #: Bytes of a long unit that are looked at together, and the grain of weights in sums that have to tie exactly.
 WINDOW, GRAIN = 1 << 18, 1 << 32
-_PRIME = 0x9E3779B97F4A7C15
-_INVERSE = pow(_PRIME, -1, 1 << 64)
 UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
 
@@ -59,7 +57,7 @@ def marked(text: str) -> str:
 
 
 class Vocabulary:
-    """Look-up of pieces by the hash of their bytes."""
+    """Look-up of pieces by a trie of their bytes."""
 
     def __init__(self, model: list[tuple[str, float, int]]):
         self.size = len(model)
@@ -77,31 +75,40 @@ class Vocabulary:
         coded = [p.encode() for p in self.ids]
         self.longest = max(map(len, coded))
         self.longest_chars = max(map(len, self.ids))
-        self.bits = max(4, (len(coded) * 8 - 1).bit_length())
-        self.keys, self.slots = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
-        self.probes = 1
+        self._trie(coded)
+
+    def _trie(self, coded: list[bytes]) -> None:
+        """A state for each beginning of a piece, those that go on before those that don't; the last one is none at all.
+
+        ``next`` has a row for each state that goes on and a column for each kind of byte; ``kind`` has a byte's.
+        """
+        child: dict[int, int] = {}
+        ends: dict[int, int] = {}
         for code, k in zip(coded, self.ids.values()):
-            h = sum((b + 1) * pow(_PRIME, j, 1 << 64) for j, b in enumerate(code)) & ((1 << 64) - 1)
-            slot, n = (h * _PRIME & ((1 << 64) - 1)) >> (64 - self.bits), 1
-            while self.slots[slot] >= 0:
-                slot, n = (slot + 1) & ((1 << self.bits) - 1), n + 1
-            self.keys[slot], self.slots[slot], self.probes = h, k, max(self.probes, n)
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The ids of pieces with these hashes, -1 for none."""
-        slot = ((hashes * np.uint64(_PRIME)) >> np.uint64(64 - self.bits)).astype(np.int64)
-        found = self.slots[slot]
-        found[self.keys[slot] != hashes] = -1 if self.probes == 1 else -2
-        found[self.slots[slot] < 0] = -1
-        for _ in range(1, self.probes):
-            open_ = np.flatnonzero(found == -2)
-            if not len(open_):
-                break
-            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
-            here = self.slots[slot[open_]]
-            found[open_] = np.where(here < 0, -1, np.where(self.keys[slot[open_]] == hashes[open_], here, -2))
-        found[found == -2] = -1
-        return found
+            at = 0
+            for b in code:
+                at = child.setdefault(at << 8 | b, len(child) + 1)
+            ends[at] = k
+        edges = np.array(list(child), np.int64)
+        above, byte, size = edges >> 8, edges & 255, len(edges) + 1
+        on = np.zeros(size, bool)
+        on[0] = True
+        on[above] = True
+        number = np.empty(size, np.int64)
+        self.inner = int(on.sum())
+        number[on], number[~on] = np.arange(self.inner), np.arange(self.inner, size)
+        used = np.unique(byte)
+        self.kind = np.full(256, len(used), np.int32)
+        self.kind[used] = np.arange(len(used))
+        self.kinds = len(used) + 1
+        self.next = np.full(self.inner * self.kinds, size, np.int32)
+        self.next[number[above] * self.kinds + self.kind[byte]] = number[1:]
+        self.piece = np.full(size + 1, -1, np.int32)
+        self.piece[number[list(ends)]] = list(ends.values())
+
+    def step(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The states that follow ``state``, all below ``inner``, by bytes of these kinds."""
+        return self.next.take(state * self.kinds + kind)
 
     def simple(self, unit: str) -> bool:
         """Whether a unit's characters are all pieces, and it is short."""
@@ -110,38 +117,39 @@ class Vocabulary:
     def spans(self, units: list[bytes]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
         """(start, end, rows, ids) of all pieces in units of one length, by start, then end."""
         n, length = len(units), len(units[0])
-        data = np.frombuffer(b"".join(units), np.uint8).reshape(n, length).astype(np.uint64) + np.uint64(1)
-        up = np.array([pow(_PRIME, j, 1 << 64) for j in range(length)], np.uint64)
-        sums = np.concatenate([np.zeros((n, 1), np.uint64), np.cumsum(data * up, axis=1, dtype=np.uint64)], axis=1)
-        sums = np.ascontiguousarray(sums.T)
-        out = []
+        data = np.ascontiguousarray(np.frombuffer(b"".join(units), np.uint8).reshape(n, length).T)
+        kinds, out = self.kind[data], []
         for i in range(length):
-            down = np.uint64(pow(_INVERSE, i, 1 << 64))
-            rows = np.flatnonzero((data[:, i] < 129) | (data[:, i] >= 193))  # characters start here
-            if not len(rows):
-                continue
-            base = sums[i][rows]
-            for j in range(i + 1, min(length, i + self.longest) + 1):
-                ids = self.find((sums[j][rows] - base) * down)
+            rows = np.flatnonzero((data[i] < 128) | (data[i] >= 192))  # characters start here
+            state = np.zeros(len(rows), np.int32)
+            for j in range(i, length):
+                if not len(rows):
+                    break
+                state = self.step(state, kinds[j] if len(rows) == n else kinds[j].take(rows))
+                ids = self.piece.take(state)
                 hit = np.flatnonzero(ids >= 0)
                 if len(hit):
-                    out.append((i, j, rows[hit], ids[hit]))
+                    out.append((i, j + 1, rows.take(hit), ids.take(hit)))
+                on = np.flatnonzero(state < self.inner)
+                if len(on) < len(rows):
+                    rows, state = rows.take(on), state.take(on)
         return out
 
     def matches(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, id) of all pieces in UTF-8 ``data``, by end, then start. Made for long ones, window by window."""
         out = []
         for at in range(0, len(data), WINDOW):
-            part = np.frombuffer(data[at : at + WINDOW + self.longest], np.uint8).astype(np.uint64) + np.uint64(1)
-            n = len(part)
-            up, down = np.full(n, _PRIME, np.uint64), np.full(n, _INVERSE, np.uint64)
-            up[0] = down[0] = 1
-            up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up, dtype=np.uint64)])
-            starts = np.flatnonzero((part[:WINDOW] < 129) | (part[:WINDOW] >= 193))
+            part = np.frombuffer(data[at : at + WINDOW + self.longest], np.uint8)
+            kinds, n = self.kind[part], len(part)
+            starts = np.flatnonzero((part[:WINDOW] < 128) | (part[:WINDOW] >= 192))
+            state = np.zeros(len(starts), np.int32)
             for length in range(1, min(self.longest, n) + 1):
-                starts = starts[starts + length <= n]
-                ids = self.find((sums[starts + length] - sums[starts]) * down[starts])
+                on = np.flatnonzero((state < self.inner) & (starts + length <= n))
+                if not len(on):
+                    break
+                starts = starts[on]
+                state = self.step(state[on], kinds[starts + (length - 1)])
+                ids = self.piece[state]
                 hit = np.flatnonzero(ids >= 0)
                 out.append((starts[hit] + at, starts[hit] + at + length, ids[hit]))
         start, end, ids = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
@@ -176,6 +184,9 @@ class Vocabulary:
             data = (MARK if part == LITERAL else part).encode()
             at = np.arange(len(data))
             return len(data), at, at + 1, self.byte_ids[np.frombuffer(data, np.uint8)]
+        if self.simple(part):
+            edges = self.edges(part)
+            return len(edges), *by_end(edges)
         data = part.encode()
         return len(data), *self.matches(data)
 
@@ -199,11 +210,16 @@ class Vocabulary:
         return out
 
 
-def n_best(edges: list[list[tuple[int, int]]], weight: np.ndarray, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """``best_paths`` of a lattice given as the (end, id) of the pieces that start at each byte."""
+def by_end(edges: list[list[tuple[int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, id) by end, then start, of the (end, id) of the pieces that start at each byte."""
     rows = sorted((j, i, k) for i, own in enumerate(edges) for j, k in own)
     end, start, piece = np.array(rows, np.int64).reshape(-1, 3).T
-    return best_paths(len(edges), start, end, piece, weight, n)
+    return start, end, piece
+
+
+def n_best(edges: list[list[tuple[int, int]]], weight: np.ndarray, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """``best_paths`` of a lattice given as the (end, id) of the pieces that start at each byte."""
+    return best_paths(len(edges), *by_end(edges), weight, n)
 
 
 def best_paths(size: int, start: np.ndarray, end: np.ndarray, piece: np.ndarray, weight: np.ndarray, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -216,12 +232,12 @@ def best_paths(size: int, start: np.ndarray, end: np.ndarray, piece: np.ndarray,
     it by the n best ways to the end, so the work is bounded by n times the pieces, however many segmentations tie.
     Weights are whole numbers of 1 / ``GRAIN`` here: equal scores are equal whatever the order of their sums.
     """
-    cost, none = np.rint(-weight * GRAIN).astype(np.int64), 1 << 62
+    cost, none = np.rint(-weight[piece] * GRAIN).astype(np.int64), 1 << 62
     least = array("q", [none]) * (size + 1)
     least[0] = 0
     for at in range(0, len(end), WINDOW):
         part = slice(at, at + WINDOW)
-        for i, j, c in zip(start[part].tolist(), end[part].tolist(), cost[piece[part]].tolist()):
+        for i, j, c in zip(start[part].tolist(), end[part].tolist(), cost[part].tolist()):
             c += least[i]
             if c < least[j]:
                 least[j] = c
@@ -240,7 +256,7 @@ def best_paths(size: int, start: np.ndarray, end: np.ndarray, piece: np.ndarray,
             continue
         left[at] += 1
         part = slice(into[at], into[at + 1])
-        for i, k, c in zip(start[part].tolist(), piece[part].tolist(), cost[piece[part]].tolist()):
+        for i, k, c in zip(start[part].tolist(), piece[part].tolist(), cost[part].tolist()):
             if least[i] < none and left[i] < n:
                 heapq.heappush(heap, (own + c + least[i], i, next(turn), own + c, (k, rest)))
     return out

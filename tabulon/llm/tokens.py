@@ -31,19 +31,20 @@ def viterbi(vocabulary: Vocabulary, units: list[bytes]) -> tuple[np.ndarray, np.
     """(score, loss, ids) of units of one length: the best segmentation's score, what the second best loses against
     it (infinite if there is none), and the best one's ids as 32-bit bytes."""
     n, length = len(units), len(units[0])
-    spans, weight = vocabulary.spans(units), vocabulary.weight
+    weight = vocabulary.weight
+    spans = [(i, j, rows, ids, weight.take(ids)) for i, j, rows, ids in vocabulary.spans(units)]
     forward = np.full((length + 1, n), -np.inf)
     back, piece = np.zeros((length + 1, n), np.int32), np.zeros((length + 1, n), np.int32)
     forward[0] = 0.0
-    for i, j, rows, ids in spans:
-        score = forward[i, rows] + weight[ids]
-        better = score > forward[j, rows]
-        won = rows[better]
-        forward[j, won], back[j, won], piece[j, won] = score[better], i, ids[better]
+    for i, j, rows, ids, w in spans:
+        score = forward[i].take(rows) + w
+        better = np.flatnonzero(score > forward[j].take(rows))
+        won = rows.take(better)
+        forward[j][won], back[j][won], piece[j][won] = score.take(better), i, ids.take(better)
     backward = np.full((length + 1, n), -np.inf)
     backward[length] = 0.0
-    for i, j, rows, ids in reversed(spans):
-        backward[i, rows] = np.maximum(backward[i, rows], backward[j, rows] + weight[ids])
+    for i, j, rows, _, w in reversed(spans):
+        backward[i][rows] = np.maximum(backward[i].take(rows), backward[j].take(rows) + w)
     on_path = np.zeros((length + 1, n), bool)
     at, all_ = np.full(n, length), np.arange(n)
     columns = []
@@ -52,10 +53,11 @@ def viterbi(vocabulary: Vocabulary, units: list[bytes]) -> tuple[np.ndarray, np.
         columns.append(np.where(at > 0, piece[at, all_], -1))
         at = np.where(at > 0, back[at, all_], 0)
     second = np.full(n, -np.inf)
-    for i, j, rows, ids in spans:
-        other = ~(on_path[j, rows] & (back[j, rows] == i))
-        rows, ids = rows[other], ids[other]
-        second[rows] = np.maximum(second[rows], forward[i, rows] + weight[ids] + backward[j, rows])
+    back[~on_path] = -1
+    for i, j, rows, _, w in spans:
+        other = np.flatnonzero(back[j].take(rows) != i)
+        rows = rows.take(other)
+        second[rows] = np.maximum(second.take(rows), forward[i].take(rows) + w.take(other) + backward[j].take(rows))
     table = np.stack(columns[::-1], axis=1)
     flat, ends = table[table >= 0].astype("<i4").tobytes(), np.cumsum((table >= 0).sum(axis=1)) * 4
     starts = np.concatenate([[0], ends[:-1]])
@@ -91,7 +93,7 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         score, loss, ids = np.zeros(len(parts)), np.full(len(parts), np.inf), [b""] * len(parts)
-        simple = [self.vocabulary.simple(u) for u in parts]
+        simple = list(map(self.vocabulary.simple, parts))
         fast = [n for n, s in enumerate(simple) if s]
         for positions, codes in by_length([parts[n] for n in fast]):
             for k in range(0, len(codes), 8192):
@@ -108,29 +110,26 @@ class Encoder:
         self.names += parts
         self.score, self.loss = np.concatenate([self.score, score]), np.concatenate([self.loss, loss])
 
-    def _places(self, text: str, new: list[str]) -> np.ndarray:
+    def _places(self, text: str, new: list[str]) -> list[int]:
         """The places of a text's parts; those seen for the first time are put on the list."""
         place, units = self.place, UNITS.findall(marked(text))
-        known, where = list(map(place.get, units)), []
-        if None not in known:
-            return np.array(known, np.int64)
-        for u in units:
-            p = place.get(u)
-            if p is not None:
-                where.append(p)
-                continue
+        where = list(map(place.get, units))
+        if None not in where:
+            return where
+        for u in dict.fromkeys(u for u, p in zip(units, where) if p is None):
             parts = self.cuts.get(u)
             if parts is None:
                 parts = self.vocabulary.parts(u)
                 if len(parts) > 1:
                     self.cuts[u] = parts
             for x in parts:
-                p = place.get(x)
-                if p is None:
-                    p = place[x] = len(place)
+                if x not in place:
+                    place[x] = len(place)
                     new.append(x)
-                where.append(p)
-        return np.array(where, np.int64)
+        where = list(map(place.get, units))
+        if None in where:
+            where = [q for u, p in zip(units, where) for q in ([p] if p is not None else map(place.__getitem__, self.cuts[u]))]
+        return where
 
     def encode(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
         """The best segmentations (score, ids as 32-bit bytes) of each text, best first."""
@@ -141,14 +140,15 @@ class Encoder:
         self._learn(new)
         ids = self.ids
         for where in split:
-            if not len(where):
+            if not where:
                 yield [(0.0, b"")]
                 continue
-            loss, total = self.loss[where], float(self.score[where].sum())
+            own = np.array(where, np.int64)
+            loss, total = self.loss[own], float(self.score[own].sum())
             few = min(self.best - 1, len(where))
             near = np.argpartition(loss, few - 1)[:few] if few and few < len(where) else np.arange(len(where))[: self.best - 1]
             near = [int(n) for n in sorted(near, key=lambda n: (loss[n], n)) if loss[n] < np.inf]
-            parts = [ids[p] for p in where]
+            parts = list(map(ids.__getitem__, where))
             choices: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
             for n in near:
                 options = self._several(where[n])

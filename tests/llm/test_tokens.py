@@ -96,3 +96,40 @@ def test_long_units_end_and_equal_their_parts(vocabulary):
     best = lambda u: n_best(vocabulary.edges(u), vocabulary.weight, 3)
     assert len(vocabulary.parts(unit)) > 2 and np.isclose(best(unit)[0][0], sum(best(p)[0][0] for p in vocabulary.parts(unit)))
     assert np.allclose([s for s, _ in best("a" * 12)], [s for s, _ in all_paths(vocabulary.edges("a" * 12), vocabulary.weight)[:3]])
+
+
+def test_pieces_found_together_and_in_long_data_are_all_there_are(vocabulary):
+    import random
+
+    r = random.Random(3)
+    units = ["".join(r.choices("aeinrstlodñéß.,▁1", k=r.randint(1, 20))) for _ in range(400)] + ["▁internationalization", "▁▁▁▁"]
+    for unit in units:
+        want = {(i, j, k) for i, own in enumerate(vocabulary.edges(unit)) for j, k in own}
+        code = unit.encode()
+        spans = [(i, j, k) for i, j, rows, ids in vocabulary.spans([code, code]) for n, k in zip(rows.tolist(), ids.tolist()) if n == 1]
+        assert set(spans) == want and len(spans) == len(want)
+        for start, end, ids in (vocabulary.matches(code), vocabulary.lattice(unit)[1:]):
+            found = list(zip(start.tolist(), end.tolist(), ids.tolist()))
+            assert set(found) == want and found == sorted(found, key=lambda f: (f[1], f[0]))
+
+
+def test_texts_of_new_words_cost_little(vocabulary):
+    """In CPU time against a loop of plain look-ups, as machines differ."""
+    import random
+    import time
+
+    def least(work):
+        times = []
+        for _ in range(3):
+            began = time.process_time()
+            work()
+            times.append(time.process_time() - began)
+        return min(times)
+
+    def loop():
+        own = {k: k for k in range(1000)}
+        return sum(own[k % 1000] for k in range(2_000_000))
+
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices(["er", "in", "le", "sh", "ion", "a", "te", "ñ", "ung", "x"], k=5)) for _ in range(4)) for _ in range(1000)]
+    assert least(lambda: list(tokens.Encoder(vocabulary).encode(texts))) < 3 * least(loop)
